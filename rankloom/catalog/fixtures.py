@@ -14,7 +14,7 @@ from rankloom.operators.ranking import match_terms
 from rankloom.operators.terms import query_terms
 from rankloom.plans.build_index import Index, build_index
 from rankloom.plans.search import search
-from rankloom.sources.corpus import read_corpus
+from rankloom.sources.corpus import read_corpus, spread_small
 
 # Fixed value: the month of page views in the events table.
 VIEW_MONTH = "2024-01"
@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)``."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @job
 def corpus_count(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.page_count(fx.documents(spark, sf))
+    return corpus.page_count(fx.table(spark, sf, "documents"))
 
 
 @job

@@ -20,6 +20,11 @@ def bm25_term_score(tf: Column, dl: Column, avgdl: Column, k1: float = K1, b: fl
     return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
 
 
+def nine_places(x: Column | str) -> Column:
+    """Sort key of a score: its first 9 places as a whole double."""
+    return F.rint((F.col(x) if isinstance(x, str) else x) * 1e9)
+
+
 def round3(x: Column) -> Column:
     """Round a non-negative double to 3 places, half to even on its exact binary value.
 

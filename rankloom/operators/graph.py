@@ -64,37 +64,47 @@ def pagerank(
     spark = edge_rows.sparkSession
     links = materialize(edge_rows.select("src", "dst"), "edges")
     out_degree = materialize(links.groupBy("src").agg(F.count("*").alias("degree")), "out-degree")
-    hot = materialize(hot_keys(out_degree, "src", "degree", min_hot_rows), "hot-sources")
-
-    cold_degree = out_degree.join(F.broadcast(hot), "src", "left_anti")
-    hot_degree = out_degree.join(F.broadcast(hot), "src", "left_semi")
+    hot = materialize(hot_keys(out_degree, "src", "degree", min_hot_rows).select("src"), "hot-sources")
+    spread = None
+    cold, cold_degree = links, out_degree
+    if not hot.isEmpty():
+        hot_degree = out_degree.join(F.broadcast(hot), "src", "left_semi")
+        spread = materialize(links.join(F.broadcast(hot_degree), "src"), "edges-hot")
+        cold, cold_degree = (rows.join(F.broadcast(hot), "src", "left_anti") for rows in (links, out_degree))
     cold = _bucketed_by_source(
-        links.join(F.broadcast(hot), "src", "left_anti").join(cold_degree, "src"),
-        partitions or int(spark.conf.get("spark.sql.shuffle.partitions")),
+        cold.join(cold_degree, "src"), partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    spread = materialize(links.join(F.broadcast(hot_degree), "src"), "edges-hot")
 
     def rank_of(total: Column) -> Column:
         return F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(total, F.lit(0.0))
 
-    def add_up(shares: DataFrame) -> DataFrame:
-        return shares.groupBy("dst").agg(F.sum("share").alias("total")).withColumnRenamed("dst", "id")
-
-    first = cold.unionByName(spread).select("dst", (F.lit(1.0) / F.col("degree")).alias("share"))
-    sums = materialize(add_up(first), "rank-1") if rounds else None
-    for turn in range(2, rounds + 1):
-        hot_sums = sums.join(F.broadcast(hot), sums.id == hot.src, "left_semi")
-        share = (rank_of(F.col("total")) / F.col("degree")).alias("share")
-        from_cold = cold.join(sums, cold.src == sums.id, "left").select("dst", share)
-        from_hot = spread.join(F.broadcast(hot_sums), spread.src == F.col("id"), "left").select("dst", share)
-        sums = materialize(add_up(from_cold.unionByName(from_hot)), f"rank-{turn}")
-
-    nodes = materialize(
-        out_degree.select(F.col("src").alias("id")).union(links.select("dst").distinct()).distinct(), "vertices"
-    )
+    def next_sums(sums: DataFrame | None) -> DataFrame:
+        """``(id, total)``: in-link sums after one more round; all ranks are 1.0 before the first."""
+        if sums is None:
+            share = (F.lit(1.0) / F.col("degree")).alias("share")
+            shares = cold.select("dst", share)
+            if spread is not None:
+                shares = shares.unionByName(spread.select("dst", share))
+        else:
+            share = (rank_of(F.col("total")) / F.col("degree")).alias("share")
+            sums = sums.withColumnRenamed("id", "src")
+            shares = cold.join(sums, "src", "left").select("dst", share)
+            if spread is not None:
+                hot_sums = sums.join(F.broadcast(hot), "src", "left_semi")
+                shares = shares.unionByName(spread.join(F.broadcast(hot_sums), "src", "left").select("dst", share))
+        return shares.groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("total"))
+
+    sums = None
+    for turn in range(1, rounds + 1):
+        sums = materialize(next_sums(sums), f"rank-{turn}")
+
+    nodes = out_degree.select(F.col("src").alias("id"))
     if sums is None:
-        return nodes.withColumn("pagerank", F.lit(1.0))
-    ranks = materialize(nodes.join(sums, "id", "left").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks")
+        return nodes.union(links.select("dst")).distinct().withColumn("pagerank", F.lit(1.0))
+    # Every target has a sum, so sources without one complete the vertices.
+    ranks = materialize(
+        nodes.join(sums, "id", "full").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks"
+    )
     if not rescale:
         return ranks
     scale = ranks.agg((F.count("*") / F.sum("pagerank")).alias("scale")).scalar()

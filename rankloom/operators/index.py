@@ -26,15 +26,23 @@ def frequent_terms(term_stats: DataFrame, min_df: int = MIN_DF) -> DataFrame:
     return term_stats.where(F.col("df") > min_df)
 
 
-def keep_frequent(facts: DataFrame, term_stats: DataFrame, min_df: int = MIN_DF, min_hot_rows: int | None = None) -> DataFrame:
-    """Facts of frequent terms only.
+def keep_frequent(
+    facts: DataFrame,
+    term_stats: DataFrame,
+    min_df: int = MIN_DF,
+    buckets: int = NUM_BUCKETS,
+    min_hot_rows: int | None = None,
+) -> DataFrame:
+    """Facts of frequent terms only, with the ``bucket`` of their term.
 
     The document frequencies already tell which terms are hot, so their rows are split for the
-    join without another counting pass.
+    join without another counting pass. The bucket is computed once per term, not per fact.
     """
     frequent = frequent_terms(term_stats, min_df)
+    if "bucket" not in term_stats.columns:
+        frequent = with_bucket(frequent, buckets)
     hot = hot_keys(frequent, "term", "df", min_hot_rows)
-    return salted_join(facts, frequent.select("term"), "term", hot, ["doc_id"], "left_semi")
+    return salted_join(facts, frequent.select("term", "bucket"), "term", hot, ["doc_id"])
 
 
 def posting_lists(postings: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.scoring import nine_places
 from rankloom.functions.text import STOP_WORDS, tokens
-from rankloom.operators.ranking import lookup, match_terms
-from rankloom.operators.skew import hot_keys, salted_join, top_k
+from rankloom.operators.ranking import indexed_terms, lookup, match_terms
+from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join, top_k
 
 # Fixed value: results of a body search.
 BODY_TOP = 100
@@ -36,7 +37,7 @@ def body_search(
     query_term_rows: DataFrame,
     norms: DataFrame | None = None,
     k: int = BODY_TOP,
-    broadcast_rows: int | None = None,
+    small: bool | None = None,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: cosine of TF-IDF vectors, best ``k``, ties by document.
@@ -46,16 +47,18 @@ def body_search(
     if norms is None:
         norms = document_norms(postings, term_stats, corpus_stats, min_hot_rows)
     n = corpus_stats.select("n").scalar()
-    known = match_terms(
-        term_stats.select("term", "df"), query_term_rows, term_stats.select("term", F.lit(1).alias("df")),
-        spread="term", broadcast_rows=broadcast_rows, min_hot_rows=min_hot_rows,
-    ).select(
-        "query_id", "term", (F.col("qtf") * F.log(n / F.col("df"))).alias("query_weight"), F.log(n / F.col("df")).alias("idf")
+    if small is None:
+        small = fits_broadcast(query_term_rows)
+    inverse = F.log(n / F.col("df"))
+    known = (
+        indexed_terms(query_term_rows, term_stats, small)
+        .where("df > 0")
+        .withColumns({"query_weight": F.col("qtf") * inverse, "idf": inverse})
+        .drop("qtf", "df", "pos")
     )
     query_norms = known.groupBy("query_id").agg(F.sqrt(F.sum(F.pow("query_weight", F.lit(2)))).alias("query_norm"))
     dots = (
-        match_terms(postings.select("term", "doc_id", "tf"), known, term_stats,
-                    broadcast_rows=broadcast_rows, min_hot_rows=min_hot_rows)
+        match_terms(postings, known, term_stats, small=small, min_hot_rows=min_hot_rows)
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("tf") * F.col("idf") * F.col("query_weight")).alias("dot"))
         .where("dot > 0")
@@ -63,7 +66,7 @@ def body_search(
     scored = dots.join(norms, "doc_id").join(query_norms, "query_id").select(
         "query_id", "doc_id", (F.col("dot") / (F.col("norm") * F.col("query_norm"))).alias("score")
     )
-    order = [F.desc(F.round("score", 9)), F.asc("doc_id")]
+    order = [F.desc(nine_places("score")), F.asc("doc_id")]
     return top_k(scored, "query_id", order, k).select("query_id", "rank", "doc_id", "score")
 
 
@@ -71,7 +74,7 @@ def title_search(
     titles: DataFrame,
     query_term_rows: DataFrame,
     stop_words: Iterable[str] = STOP_WORDS,
-    broadcast_rows: int | None = None,
+    small: bool | None = None,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, title, matches)``: all titles with a query word, by distinct words.
@@ -84,7 +87,7 @@ def title_search(
     ).where("term is not null")
     return (
         match_terms(words, query_term_rows.select("query_id", "term"),
-                    broadcast_rows=broadcast_rows, min_hot_rows=min_hot_rows)
+                    small=small, min_hot_rows=min_hot_rows)
         .groupBy("query_id", "doc_id", "title")
         .agg(F.count("*").alias("matches"))
         .orderBy("query_id", F.desc("matches"), "doc_id")
@@ -104,7 +107,7 @@ def anchor_search(
     anchors: DataFrame,
     query_term_rows: DataFrame,
     stop_words: Iterable[str] = STOP_WORDS,
-    broadcast_rows: int | None = None,
+    small: bool | None = None,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, matches)``: all link targets whose link texts have a query word.
@@ -116,7 +119,7 @@ def anchor_search(
     ).where("term is not null").distinct()
     return (
         match_terms(words, query_term_rows.select("query_id", "term"),
-                    broadcast_rows=broadcast_rows, min_hot_rows=min_hot_rows)
+                    small=small, min_hot_rows=min_hot_rows)
         .groupBy("query_id", "doc_id")
         .agg(F.count("*").alias("matches"))
         .orderBy("query_id", F.desc("matches"), "doc_id")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.functions.scoring import B, K1, bm25_term_score, idf
+from rankloom.functions.scoring import B, K1, bm25_term_score, idf, nine_places
 from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join, top_k
 
 # Results and candidates of one search, weight of the text score, missing title.
@@ -20,22 +20,44 @@ def match_terms(
     query_term_rows: DataFrame,
     term_rows: DataFrame | None = None,
     spread: str = "doc_id",
-    broadcast_rows: int | None = None,
+    small: bool | None = None,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
     """Join facts ``(term, ...)`` with query terms.
 
     A counted, bounded batch of queries is broadcast, so the facts are not shuffled. A larger one is
     joined by shuffle with the hot terms split; ``term_rows (term, df)`` saves counting them.
+    ``small`` is the outcome of a count already made. Where both sides have the term's bucket, the
+    broadcast also tells the scan which bucket folders to read.
     """
-    if fits_broadcast(query_term_rows, broadcast_rows):
-        return facts.join(F.broadcast(query_term_rows), "term")
+    if small is None:
+        small = fits_broadcast(query_term_rows)
+    bucketed = "bucket" in facts.columns and "bucket" in query_term_rows.columns
+    if small:
+        return facts.join(F.broadcast(query_term_rows), ["term", "bucket"] if bucketed else "term")
+    if bucketed:
+        query_term_rows = query_term_rows.drop("bucket")
     if term_rows is None:
         term_rows = facts.groupBy("term").agg(F.count("*").alias("df"))
     hot = hot_keys(term_rows, "term", "df", min_hot_rows)
     return salted_join(facts, query_term_rows, "term", hot, [spread])
 
 
+def indexed_terms(query_term_rows: DataFrame, term_stats: DataFrame, small: bool | None = None) -> DataFrame:
+    """Query terms of the index with their ``df``, and ``bucket`` if the index has one.
+
+    The index has one row per term, so there are no more rows than query terms. Only the query side
+    can be hot here: a word that a large part of the queries share.
+    """
+    if small is None:
+        small = fits_broadcast(query_term_rows)
+    stats = term_stats.drop("term_total")
+    if small:
+        return stats.join(F.broadcast(query_term_rows), "term")
+    asked = query_term_rows.groupBy("term").agg(F.count("*").alias("n"))
+    return salted_join(query_term_rows, stats, "term", hot_keys(asked, "term", "n"), ["query_id"])
+
+
 def with_idf(query_term_rows: DataFrame, term_stats: DataFrame, corpus_stats: DataFrame, unknown_zero: bool = False) -> DataFrame:
     """Query terms with ``df`` and ``idf``; a term outside the index has df 0.
 
@@ -60,7 +82,7 @@ def bm25_scores(
     lengths: DataFrame | None = None,
     k1: float = K1,
     b: float = B,
-    broadcast_rows: int | None = None,
+    small: bool | None = None,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
     """``(query_id, doc_id, score, pos)`` of all matching pairs.
@@ -69,39 +91,31 @@ def bm25_scores(
     outside the index and documents without a length are skipped. Postings that carry ``dl`` need
     no length table, which leaves a single shuffle, on query and document, after partial sums.
     """
+    if small is None:
+        small = fits_broadcast(query_term_rows)
     n = corpus_stats.select("n").scalar()
     avgdl = corpus_stats.select("avgdl").scalar()
-    columns = ["term", "doc_id", "tf"] + (["dl"] if lengths is None else [])
-    hits = match_terms(
-        postings.select(*columns),
-        _indexed_terms(query_term_rows, term_stats, n, broadcast_rows, min_hot_rows),
-        term_stats,
-        broadcast_rows=broadcast_rows,
-        min_hot_rows=min_hot_rows,
+    # df > 0 always holds; it marks this side as selective, which bucket pruning asks for.
+    weighted = (
+        indexed_terms(query_term_rows, term_stats, small)
+        .where("df > 0")
+        .withColumn("weight", F.col("qtf") * idf(n, F.col("df")))
+        .drop("qtf", "df")
     )
+    facts = postings if lengths is None else postings.drop("dl")
+    hits = match_terms(facts, weighted, term_stats, small=small, min_hot_rows=min_hot_rows)
     if lengths is not None:
         hits = hits.join(lengths.select("doc_id", "dl"), "doc_id")
     part = F.col("weight") * bm25_term_score(F.col("tf"), F.col("dl"), avgdl, k1, b)
-    return hits.where("dl is not null").groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"), F.min("pos").alias("pos"))
-
-
-def _indexed_terms(
-    query_term_rows: DataFrame, term_stats: DataFrame, n: Column, broadcast_rows: int | None, min_hot_rows: int | None
-) -> DataFrame:
-    """Query terms of the index with ``weight`` = repeats times idf."""
-    known = match_terms(
-        term_stats.select("term", "df"), query_term_rows, term_stats.select("term", F.lit(1).alias("df")),
-        spread="term", broadcast_rows=broadcast_rows, min_hot_rows=min_hot_rows,
-    )
-    return known.select("query_id", "term", "pos", (F.col("qtf") * idf(n, F.col("df"))).alias("weight"))
+    return hits.groupBy("query_id", "doc_id").agg(F.sum(part).alias("score"), F.min("pos").alias("pos"))
 
 
 def best_first(scores: DataFrame, k: int = TOP) -> DataFrame:
     """Top ``k`` per query; equal scores keep the order in which documents were met.
 
-    Rounding to 9 places absorbs the order of summation.
+    Comparing 9 places absorbs the order of summation.
     """
-    order = [F.desc(F.round("score", 9)), F.asc("pos"), F.asc("doc_id")]
+    order = [F.desc(nine_places("score")), F.asc("pos"), F.asc("doc_id")]
     return top_k(scores, "query_id", order, k).select("query_id", "rank", "doc_id", "score")
 
 
@@ -114,7 +128,7 @@ def rerank(candidates: DataFrame, ranks: DataFrame, k: int = TOP, alpha: float =
     blended = attach(candidates, ranks.select(F.col("id").alias("doc_id"), "pagerank"), "doc_id").withColumn(
         "final", F.lit(alpha) * F.col("score") + F.lit(1 - alpha) * F.coalesce("pagerank", F.lit(0.0))
     )
-    order = [F.desc(F.round("final", 9)), F.asc("rank")]
+    order = [F.desc(nine_places("final")), F.asc("rank")]
     return top_k(blended, "query_id", order, k, "place").select(
         "query_id", F.col("place").alias("rank"), "doc_id", F.col("final").alias("score")
     )

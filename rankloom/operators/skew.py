@@ -17,9 +17,8 @@ HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 200_000
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Count up to the broadcast bound and tell whether ``df`` is within it."""
-    limit = BROADCAST_ROWS if limit is None else limit
     return df.limit(limit + 1).count() <= limit
 
 

@@ -42,12 +42,13 @@ def build_index(
     path = path or scratch_path(spark, "index")
     per_doc = materialize(tx.doc_terms(docs, stop_words), "doc-terms")
     facts = tx.term_facts(per_doc)
-    all_terms = materialize(ix.term_statistics(facts), "all-terms")
 
-    ix.frequent_terms(all_terms, min_df).write.parquet(f"{path}/term_stats", mode="overwrite")
+    stats = ix.with_bucket(ix.frequent_terms(ix.term_statistics(facts), min_df), buckets)
+    stats.write.parquet(f"{path}/term_stats", mode="overwrite")
+    stats = spark.read.schema(schemas.TERM_STATS).parquet(f"{path}/term_stats")
     lengths = per_doc.where("dl > 0").select("doc_id", "dl")
     lengths.write.parquet(f"{path}/doc_lengths", mode="overwrite")
-    postings = ix.keep_frequent(facts, all_terms, min_df) if min_df > 0 else facts
+    postings = ix.keep_frequent(facts, stats, min_df) if min_df > 0 else facts
     save_postings(postings, f"{path}/postings", buckets)
     ix.corpus_statistics(spark.read.schema(schemas.DOC_LENGTHS).parquet(f"{path}/doc_lengths")).write.parquet(
         f"{path}/corpus_stats", mode="overwrite"

@@ -26,7 +26,12 @@ POSTINGS = _table(
     ("bucket", T.IntegerType()),
 )
 
-TERM_STATS = _table(("term", T.StringType()), ("df", T.LongType()), ("term_total", T.LongType()))
+TERM_STATS = _table(
+    ("term", T.StringType()),
+    ("df", T.LongType()),
+    ("term_total", T.LongType()),
+    ("bucket", T.IntegerType()),
+)
 
 DOC_LENGTHS = _table(("doc_id", ID), ("dl", T.LongType()))
 

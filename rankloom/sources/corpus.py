@@ -29,3 +29,13 @@ def links(corpus: DataFrame) -> DataFrame:
 def page_count(corpus: DataFrame) -> DataFrame:
     """``(pages)``: one row; Parquet answers it from file footers."""
     return corpus.agg(F.count("*").alias("pages"))
+
+
+def spread_small(scan: DataFrame) -> DataFrame:
+    """Spread a file scan that has fewer splits than the cluster has cores.
+
+    Such a scan is small, but costly work on it, like tokenizing, would leave cores idle: a file of
+    one row group is read by one task. Larger scans are left alone, so their text is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
