@@ -71,9 +71,10 @@ def pagerank(
         hot_degree = out_degree.join(F.broadcast(hot), "src", "left_semi")
         spread = materialize(links.join(F.broadcast(hot_degree), "src"), "edges-hot")
         cold, cold_degree = (rows.join(F.broadcast(hot), "src", "left_anti") for rows in (links, out_degree))
-    cold = _bucketed_by_source(
+    by_source = _bucketed_by_source(
         cold.join(cold_degree, "src"), partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
+    cold = spark.table(by_source)
 
     def rank_of(total: Column) -> Column:
         return F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(total, F.lit(0.0))
@@ -105,14 +106,18 @@ def pagerank(
     ranks = materialize(
         nodes.join(sums, "id", "full").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks"
     )
+    spark.sql(f"drop table {by_source}")
     if not rescale:
         return ranks
     scale = ranks.agg((F.count("*") / F.sum("pagerank")).alias("scale")).scalar()
     return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))
 
 
-def _bucketed_by_source(links: DataFrame, buckets: int) -> DataFrame:
-    """Write links bucketed by source, so that no later round shuffles them."""
+def _bucketed_by_source(links: DataFrame, buckets: int) -> str:
+    """Write links bucketed by source, so that no later round shuffles them; gives the table name.
+
+    Its files are in the checkpoint folder; dropping the table leaves them there.
+    """
     spark = links.sparkSession
     table = f"rankloom_edges_{uuid.uuid4().hex}"
     (
@@ -123,7 +128,7 @@ def _bucketed_by_source(links: DataFrame, buckets: int) -> DataFrame:
         .option("path", scratch_path(spark, "edges-by-source"))
         .saveAsTable(table)
     )
-    return spark.table(table)
+    return table
 
 
 def highest_first(ranks: DataFrame) -> DataFrame:

@@ -112,15 +112,21 @@ def anchor_search(
 ) -> DataFrame:
     """``(query_id, doc_id, matches)``: all link targets whose link texts have a query word.
 
-    Many links to one target repeat its words; they fold into one row per task before the shuffle.
+    Many links to one target repeat its words; they fold into one row per task before a shuffle. A
+    small batch is matched first, so only matching words are shuffled at all.
     """
     words = anchors.select(
         "doc_id", F.explode_outer(F.array_distinct(tokens(F.col("text"), stop_words))).alias("term")
-    ).where("term is not null").distinct()
+    ).where("term is not null")
+    wanted = query_term_rows.select("query_id", "term")
+    if small is None:
+        small = fits_broadcast(wanted)
+    if small:
+        hits = match_terms(words, wanted, small=True).select("query_id", "doc_id", "term").distinct()
+    else:
+        hits = match_terms(words.distinct(), wanted, small=False, min_hot_rows=min_hot_rows)
     return (
-        match_terms(words, query_term_rows.select("query_id", "term"),
-                    small=small, min_hot_rows=min_hot_rows)
-        .groupBy("query_id", "doc_id")
+        hits.groupBy("query_id", "doc_id")
         .agg(F.count("*").alias("matches"))
         .orderBy("query_id", F.desc("matches"), "doc_id")
     )

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from rankloom import schemas
+from rankloom.durable import materialize
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators import index as ix
 from rankloom.operators import terms as tx
-from rankloom.durable import materialize
 from rankloom.plans.build_index import Index
 from rankloom.sources.artifacts import load_or_empty, save_postings
 
@@ -39,7 +39,7 @@ def index_stream(
 
 def load_stream_index(spark: SparkSession, path: str) -> Index:
     """The index of all batches so far; statistics of the batches add up."""
-    lengths = load_or_empty(spark, f"{path}/doc_lengths", schemas.DOC_LENGTHS)
+    lengths = load_or_empty(spark, f"{path}/doc_lengths", schemas.DOC_LENGTHS).select("doc_id", "dl")
     return Index(
         load_or_empty(spark, f"{path}/postings", schemas.POSTINGS).select("term", "doc_id", "tf", "dl"),
         ix.merge_statistics(load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS)),

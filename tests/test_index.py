@@ -138,3 +138,18 @@ def test_judgments_source(spark, folder):
     judged = read_judgments(spark, f"{folder}/judged.json")
     assert rows(query_table(judged)) == [("moon rocks", "moon rocks"), ("no answer", "no answer")]
     assert rows(judgment_table(judged)) == [("moon rocks", 7), ("moon rocks", 12)]
+
+
+def test_a_hot_term_is_stored_by_several_tasks(spark, folder):
+    rows_of_hot = spark.range(60_000).selectExpr("'hot' as term", "id as doc_id", "1L as tf", "9L as dl")
+    others = spark.range(120_000).selectExpr("concat('t', id % 900) as term", "id as doc_id", "1L as tf", "9L as dl")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        artifacts.save_postings(rows_of_hot.union(others), f"{folder}/skewed", 10)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    saved = spark.read.parquet(f"{folder}/skewed")
+    assert saved.count() == 180_000
+    sizes = saved.groupBy(F.regexp_extract(F.input_file_name(), "part-([0-9]+)", 1).alias("task")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 2 * 180_000 / 8
+    assert saved.where("term = 'hot'").select(F.input_file_name()).distinct().count() >= 3
