@@ -17,7 +17,7 @@ from rankloom.operators import matching as mt
 from rankloom.operators.graph import edges, normalized, pagerank
 from rankloom.operators.terms import query_terms
 from rankloom.plans.build_index import add_documents, build_index
-from rankloom.plans.search import bm25, search
+from rankloom.plans.search import bm25, body, search
 from rankloom.session import spark_session
 
 
@@ -32,18 +32,20 @@ def main() -> None:
     docs = fx.documents(spark, sf_dir)
     queries = fx.benchmark_queries(spark, sf_dir)
     titles = fx.page_titles(spark, sf_dir)
+    first: dict[str, float] = {}
     seconds: dict[str, float] = {}
     made: dict[str, object] = {}
 
     def timed(name: str, run) -> None:
-        start = time.perf_counter()
-        result = run()
-        if hasattr(result, "write"):
-            result.write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        """Run a job twice: the first time compiles it, the second is reported."""
+        for times in (first, seconds):
+            start = time.perf_counter()
+            result = run()
+            if hasattr(result, "write"):
+                result.write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - start, 3)
         made[name] = result
 
-    spark.range(1000).selectExpr("sum(id)").collect()
     timed("index_build", lambda: build_index(docs))
     index = made["index_build"]
     timed("index_build_all_terms", lambda: build_index(docs, min_df=0))
@@ -52,15 +54,16 @@ def main() -> None:
     timed("bm25_batch", lambda: bm25(index, queries))
     timed("bm25_batch_all_terms", lambda: bm25(made["index_build_all_terms"], queries))
     timed("search_batch", lambda: materialize(search(index, queries, ranks, titles), "results"))
-    timed("body_search", lambda: mt.body_search(
-        index.postings, index.term_stats, index.corpus_stats, query_terms(queries)))
+    timed("body_search", lambda: body(index, queries))
     timed("title_search", lambda: mt.title_search(titles, query_terms(queries)))
     timed("anchor_search", lambda: mt.anchor_search(mt.anchor_rows(fx.web_pages(spark, sf_dir)), query_terms(queries)))
+    few = spark.createDataFrame([(1, "inin tion eaux pour")], "query_id long, query string")
+    timed("bm25_one_query", lambda: bm25(index, few))
     timed("add_documents", lambda: add_documents(index, docs).term_stats)
     timed("evaluation", lambda: ev.evaluate(queries, made["search_batch"], made["search_batch"]))
     print(json.dumps({
         "metric": "total_seconds", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds, "sf": sf_dir.rsplit("sf", 1)[-1],
+        "queries": seconds, "sf": sf_dir.rsplit("sf", 1)[-1], "first_runs": first,
     }))
     spark.stop()
 

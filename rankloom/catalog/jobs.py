@@ -212,6 +212,13 @@ def bm25_all_terms_top10(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sr.bm25(fx.index(spark, sf, 0), fx.benchmark_queries(spark, sf)), "score")
 
 
+@job
+def bm25_by_term_top10(spark: SparkSession, sf: str) -> DataFrame:
+    index = fx.index(spark, sf)
+    by_term = Index(index.postings, index.term_stats, index.doc_lengths, index.corpus_stats)
+    return rounded(sr.bm25(by_term, fx.benchmark_queries(spark, sf)), "score")
+
+
 @job
 def bm25_separate_lengths_top10(spark: SparkSession, sf: str) -> DataFrame:
     index = fx.index(spark, sf)
@@ -238,9 +245,7 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
 
 @job
 def body_search(spark: SparkSession, sf: str) -> DataFrame:
-    index = fx.index(spark, sf)
-    terms = tx.query_terms(fx.benchmark_queries(spark, sf))
-    return rounded(mt.body_search(index.postings, index.term_stats, index.corpus_stats, terms), "score")
+    return rounded(sr.body(fx.index(spark, sf), fx.benchmark_queries(spark, sf)), "score")
 
 
 @job

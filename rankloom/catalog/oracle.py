@@ -221,6 +221,7 @@ ORACLE: dict[str, str] = {
         from query_terms left join frequent using (term), corpus""",
     "bm25_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found",
     "bm25_all_terms_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10, min_df=0)} {RESULT} found",
+    "bm25_by_term_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found",
     "bm25_separate_lengths_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found",
     "bm25_classic_top10": f"""with {FACTS}, {QUERY_TERMS}, {STEMS},
         {_bm25('found', 10, b=0.75, terms='mapped_terms')} {RESULT} found""",

@@ -17,15 +17,17 @@ BODY_TOP = 100
 
 
 def document_norms(postings: DataFrame, term_stats: DataFrame, corpus_stats: DataFrame, min_hot_rows: int | None = None) -> DataFrame:
-    """``(doc_id, norm)``: length of each document's TF-IDF vector over the index vocabulary."""
+    """``(doc_id, norm)``: length of each document's TF-IDF vector over the index vocabulary.
+
+    A vocabulary that was counted and is small goes to the facts; with facts by document each task
+    then has whole documents. A larger one is joined by shuffle with the hot terms split.
+    """
     n = corpus_stats.select("n").scalar()
-    facts = salted_join(
-        postings.select("term", "doc_id", "tf"),
-        term_stats.select("term", "df"),
-        "term",
-        hot_keys(term_stats, "term", "df", min_hot_rows),
-        ["doc_id"],
-    )
+    facts, stats = postings.select("term", "doc_id", "tf"), term_stats.select("term", "df")
+    if fits_broadcast(stats):
+        facts = facts.join(F.broadcast(stats), "term")
+    else:
+        facts = salted_join(facts, stats, "term", hot_keys(stats, "term", "df", min_hot_rows), ["doc_id"])
     weight = F.col("tf") * F.log(n / F.col("df"))
     return facts.groupBy("doc_id").agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
 

@@ -17,9 +17,17 @@ HOT_ROWS = 1_000_000
 BROADCAST_ROWS = 200_000
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+def fits_broadcast(df: DataFrame) -> bool:
     """Count up to the broadcast bound and tell whether ``df`` is within it."""
-    return df.limit(limit + 1).count() <= limit
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def batch_size(query_term_rows: DataFrame) -> tuple[bool, int]:
+    """Whether the query terms fit a broadcast, and how many distinct terms a fitting batch has."""
+    size = query_term_rows.limit(BROADCAST_ROWS + 1).agg(
+        F.count("*").alias("rows"), F.countDistinct("term").alias("terms")
+    ).first()
+    return size.rows <= BROADCAST_ROWS, size.terms
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, min_rows: int | None = None) -> DataFrame:

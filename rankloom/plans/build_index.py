@@ -17,12 +17,17 @@ from rankloom.sources.artifacts import load_or_empty, save_postings
 
 @dataclass(frozen=True)
 class Index:
-    """The tables a search reads."""
+    """The tables a search reads.
+
+    The facts are there twice: by term in ``postings``, of which a few terms need only a part, and
+    by document in ``doc_terms``, where all a document's terms are in one task.
+    """
 
     postings: DataFrame
     term_stats: DataFrame
     doc_lengths: DataFrame
     corpus_stats: DataFrame
+    doc_terms: DataFrame | None = None
 
 
 def build_index(
@@ -40,32 +45,35 @@ def build_index(
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "index")
-    per_doc = materialize(tx.doc_terms(docs, stop_words), "doc-terms")
+    tx.doc_terms(docs, stop_words).write.parquet(f"{path}/doc_terms", mode="overwrite")
+    per_doc = spark.read.schema(schemas.DOC_TERMS).parquet(f"{path}/doc_terms")
     facts = tx.term_facts(per_doc)
 
     stats = ix.with_bucket(ix.frequent_terms(ix.term_statistics(facts), min_df), buckets)
     stats.write.parquet(f"{path}/term_stats", mode="overwrite")
     stats = spark.read.schema(schemas.TERM_STATS).parquet(f"{path}/term_stats")
-    lengths = per_doc.where("dl > 0").select("doc_id", "dl")
-    lengths.write.parquet(f"{path}/doc_lengths", mode="overwrite")
+    ix.corpus_statistics(per_doc).write.parquet(f"{path}/corpus_stats", mode="overwrite")
     postings = ix.keep_frequent(facts, stats, min_df) if min_df > 0 else facts
     save_postings(postings, f"{path}/postings", buckets)
-    ix.corpus_statistics(spark.read.schema(schemas.DOC_LENGTHS).parquet(f"{path}/doc_lengths")).write.parquet(
-        f"{path}/corpus_stats", mode="overwrite"
-    )
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
     """The index saved in ``path``; a missing table is empty."""
+    per_doc = load_or_empty(spark, f"{path}/doc_terms", schemas.DOC_TERMS)
     return Index(
         load_or_empty(spark, f"{path}/postings", schemas.POSTINGS),
         load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS),
-        load_or_empty(spark, f"{path}/doc_lengths", schemas.DOC_LENGTHS),
+        _lengths(per_doc),
         load_or_empty(spark, f"{path}/corpus_stats", schemas.CORPUS_STATS),
+        per_doc,
     )
 
 
+def _lengths(per_doc: DataFrame) -> DataFrame:
+    return per_doc.where("dl > 0").select("doc_id", "dl")
+
+
 def add_documents(index: Index, docs: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> Index:
     """The index with more ``docs (doc_id, text)``.
 
@@ -75,10 +83,11 @@ def add_documents(index: Index, docs: DataFrame, stop_words: Iterable[str] = STO
     per_doc = materialize(tx.doc_terms(docs, stop_words), "added-terms")
     facts = tx.term_facts(per_doc)
     postings = index.postings.select("term", "doc_id", "tf", "dl").unionByName(facts)
-    lengths = index.doc_lengths.unionByName(per_doc.where("dl > 0").select("doc_id", "dl"))
+    lengths = index.doc_lengths.unionByName(_lengths(per_doc))
     return Index(
         postings,
         ix.merge_statistics(index.term_stats, ix.term_statistics(facts)),
         lengths,
         ix.corpus_statistics(lengths),
+        None if index.doc_terms is None else index.doc_terms.unionByName(per_doc),
     )

@@ -11,12 +11,18 @@ from rankloom.functions.scoring import B, B_CLASSIC, K1
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators import ranking as rk
 from rankloom.operators.evaluation import evaluate, summary
-from rankloom.operators.terms import map_terms, query_terms
+from rankloom.operators.index import NUM_BUCKETS
+from rankloom.operators.matching import BODY_TOP, body_search, document_norms
+from rankloom.operators.skew import batch_size
+from rankloom.operators.terms import map_terms, query_terms, term_facts
 from rankloom.plans.build_index import Index
 
 # Fixed value: candidates of the full search.
 SEARCH_CANDIDATES = 20
 
+# Distinct query terms from which the facts by document are read.
+MANY_TERMS = NUM_BUCKETS
+
 
 def bm25(
     index: Index,
@@ -31,11 +37,36 @@ def bm25(
     terms = query_terms(queries, stop_words)
     if stems is not None:
         terms = map_terms(terms, stems)
-    lengths = None if "dl" in index.postings.columns else index.doc_lengths
-    scores = rk.bm25_scores(index.postings, index.term_stats, index.corpus_stats, terms, lengths, k1, b)
+    small, distinct = batch_size(terms)
+    facts = facts_for(index, distinct)
+    lengths = None if "dl" in facts.columns else index.doc_lengths
+    scores = rk.bm25_scores(facts, index.term_stats, index.corpus_stats, terms, lengths, k1, b, small)
     return rk.best_first(scores, k)
 
 
+def facts_for(index: Index, distinct_terms: int) -> DataFrame:
+    """The postings for a few query terms, the facts by document for many.
+
+    A few terms touch a few buckets, and the others are not read. With more terms than buckets
+    nearly all are read anyway; then it pays that a document's terms meet in one task, where its
+    partial sum per query is already complete, so that one row per pair is shuffled.
+    """
+    if index.doc_terms is None or distinct_terms <= MANY_TERMS:
+        return index.postings
+    return term_facts(index.doc_terms)
+
+
+def body(index: Index, queries: DataFrame, norms: DataFrame | None = None, k: int = BODY_TOP) -> DataFrame:
+    """``(query_id, rank, doc_id, score)``: body search of each query ``(query_id, query)``."""
+    terms = query_terms(queries)
+    small, distinct = batch_size(terms)
+    facts = facts_for(index, distinct)
+    if norms is None:
+        by_doc = index.postings if index.doc_terms is None else term_facts(index.doc_terms)
+        norms = document_norms(by_doc, index.term_stats, index.corpus_stats)
+    return body_search(facts, index.term_stats, index.corpus_stats, terms, norms, k, small)
+
+
 def bm25_classic(index: Index, queries: DataFrame, stems: DataFrame | None = None, k: int = rk.TOP) -> DataFrame:
     """The older variant: ``b`` = 0.75 and stemmed query terms."""
     return bm25(index, queries, k, b=B_CLASSIC, stems=stems)

@@ -33,6 +33,12 @@ TERM_STATS = _table(
     ("bucket", T.IntegerType()),
 )
 
+DOC_TERMS = _table(
+    ("doc_id", ID),
+    ("dl", T.LongType()),
+    ("terms", T.ArrayType(_table(("term", T.StringType()), ("tf", T.LongType())))),
+)
+
 DOC_LENGTHS = _table(("doc_id", ID), ("dl", T.LongType()))
 
 CORPUS_STATS = _table(("n", T.LongType()), ("avgdl", T.DoubleType()))

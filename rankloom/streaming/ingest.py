@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from rankloom import schemas
-from rankloom.durable import materialize
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators import index as ix
 from rankloom.operators import terms as tx
@@ -26,23 +25,23 @@ def index_stream(
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        per_doc = materialize(tx.doc_terms(batch, stop_words), "batch-terms")
-        facts = tx.term_facts(per_doc)
+        spark, table = batch.sparkSession, f"{path}/doc_terms/batch={batch_id}"
+        tx.doc_terms(batch, stop_words).write.parquet(table, mode="overwrite")
+        facts = tx.term_facts(spark.read.schema(schemas.DOC_TERMS).parquet(table))
         save_postings(facts, f"{path}/postings/batch={batch_id}", buckets)
         ix.term_statistics(facts).write.parquet(f"{path}/term_stats/batch={batch_id}", mode="overwrite")
-        per_doc.where("dl > 0").select("doc_id", "dl").write.parquet(
-            f"{path}/doc_lengths/batch={batch_id}", mode="overwrite"
-        )
 
     return docs.writeStream.foreachBatch(add)
 
 
 def load_stream_index(spark: SparkSession, path: str) -> Index:
     """The index of all batches so far; statistics of the batches add up."""
-    lengths = load_or_empty(spark, f"{path}/doc_lengths", schemas.DOC_LENGTHS).select("doc_id", "dl")
+    per_doc = load_or_empty(spark, f"{path}/doc_terms", schemas.DOC_TERMS).select("doc_id", "dl", "terms")
+    lengths = per_doc.where("dl > 0").select("doc_id", "dl")
     return Index(
         load_or_empty(spark, f"{path}/postings", schemas.POSTINGS).select("term", "doc_id", "tf", "dl"),
         ix.merge_statistics(load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS)),
         lengths,
         ix.corpus_statistics(lengths),
+        per_doc,
     )

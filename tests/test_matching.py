@@ -15,7 +15,9 @@ def queries(spark, *texts):
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_body_search_is_a_cosine(spark, small):
+def test_body_search_is_a_cosine(spark, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr("rankloom.operators.skew.BROADCAST_ROWS", 0)
     docs = {1: "moon sun moon", 2: "moon star", 3: "sun sun", 4: "star dust dust", 5: "all"}
     index = build_index(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), min_df=0, buckets=2)
     terms = queries(spark, "moon moon sun unknown", "nothing", "dust")

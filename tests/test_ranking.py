@@ -78,6 +78,17 @@ def test_shuffled_and_split_join_equals_broadcast(index, queries):
         same(large[query_id], small[query_id])
 
 
+@pytest.mark.parametrize("many_terms, broadcast_rows", [(0, 200_000), (1000, 200_000), (0, 0)])
+def test_every_path_of_a_batch_gives_the_same(index, queries, monkeypatch, many_terms, broadcast_rows):
+    monkeypatch.setattr("rankloom.plans.search.MANY_TERMS", many_terms)
+    monkeypatch.setattr("rankloom.operators.skew.BROADCAST_ROWS", broadcast_rows)
+    found = by_query(sr.bm25(index, queries))
+    for query_id, text in QUERIES.items():
+        same(found.get(query_id, []), model_bm25(DOCS, text or "", 10))
+    bodies = by_query(sr.body(index, queries))
+    assert bodies.keys() == found.keys()
+
+
 def test_separate_lengths_skip_documents_without_one(index, queries):
     bare = Index(index.postings.drop("dl"), index.term_stats, index.doc_lengths.where("doc_id <> 90"), index.corpus_stats)
     found = by_query(sr.bm25(bare, queries))
