@@ -49,7 +49,7 @@ def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     anchor = r'<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>'
     found = F.regexp_extract_all("html", F.lit(anchor), F.lit(0))
     title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
-    return table(spark, sf_dir, "pages").select(
+    return spread_small(table(spark, sf_dir, "pages").select("page_id", "html")).select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"),
         F.col("page_id").alias("doc_id"),
         F.when(title != "", title).alias("title"),
