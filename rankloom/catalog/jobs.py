@@ -243,6 +243,14 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fx.search_results(spark, sf), "score")
 
 
+@job
+def search_without_artifacts(spark: SparkSession, sf: str) -> DataFrame:
+    """No PageRank and no titles saved: both load as empty tables."""
+    ranks = artifacts.load_or_empty(spark, scratch_path(spark, "no-ranks"), schemas.PAGERANK)
+    names = artifacts.load_or_empty(spark, scratch_path(spark, "no-titles"), schemas.TITLES)
+    return rounded(sr.search(fx.index(spark, sf), fx.benchmark_queries(spark, sf), ranks, names), "score")
+
+
 @job
 def body_search(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sr.body(fx.index(spark, sf), fx.benchmark_queries(spark, sf)), "score")
@@ -365,4 +373,6 @@ def eval_per_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @job
 def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(ev.summary(ev.evaluate(*_judged(spark, sf))), "average_quality")
+    queries, ranks, names = fx.benchmark_queries(spark, sf), fx.blending_ranks(spark, sf), fx.page_titles(spark, sf)
+    summary = sr.evaluate_search(fx.index(spark, sf), queries, ranks, names, fx.judgments(spark, sf))[1]
+    return rounded(summary, "average_quality")

@@ -230,6 +230,8 @@ ORACLE: dict[str, str] = {
     "search": f"""with {SEARCH}, {TITLES}
         select query_id, rank, doc_id, round(score, 6) as score, coalesce(title, 'UNKNOWN TITLE') as title
         from reranked left join page_titles using (doc_id)""",
+    "search_without_artifacts": f"""with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)}
+        select query_id, rank, doc_id, round(0.8::double * score, 6) as score, 'UNKNOWN TITLE' as title from found""",
     "body_search": f"""with {FACTS}, {QUERY_TERMS},
         weights as (
           select term, doc_id, tf * ln(n / df) as weight, ln(n / df) as idf

@@ -14,6 +14,10 @@ from rankloom.operators.skew import hot_keys
 RESET = 0.15
 ROUNDS = 6
 
+# Bounds on the links of one bucket, where the session's number of partitions allows a choice.
+FEWEST_LINKS = 50_000
+MOST_LINKS = 10_000_000
+
 
 def link_rows(pages: DataFrame, page_id: str = "id", links: str = "anchor_text") -> DataFrame:
     """``(src, dst)``: one row per link; pages with null links and links without id have none."""
@@ -71,9 +75,7 @@ def pagerank(
         hot_degree = out_degree.join(F.broadcast(hot), "src", "left_semi")
         spread = materialize(links.join(F.broadcast(hot_degree), "src"), "edges-hot")
         cold, cold_degree = (rows.join(F.broadcast(hot), "src", "left_anti") for rows in (links, out_degree))
-    by_source = _bucketed_by_source(
-        cold.join(cold_degree, "src"), partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    by_source = _bucketed_by_source(cold.join(cold_degree, "src"), partitions or _buckets_for(links))
     cold = spark.table(by_source)
 
     def rank_of(total: Column) -> Column:
@@ -113,6 +115,13 @@ def pagerank(
     return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))
 
 
+def _buckets_for(links: DataFrame) -> int:
+    """Shuffle partitions of the session, but fewer for few links and more for very many."""
+    rows = links.count()
+    usual = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-rows // MOST_LINKS), min(usual, -(-rows // FEWEST_LINKS)))
+
+
 def _bucketed_by_source(links: DataFrame, buckets: int) -> str:
     """Write links bucketed by source, so that no later round shuffles them; gives the table name.
 

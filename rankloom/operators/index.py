@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import term_bucket
-from rankloom.operators.skew import hot_keys, salted_join
+from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join
 
 # Rare-term cut, number of buckets, document ids per posting-list block, largest
 # count that 16 bits hold.
@@ -35,14 +35,17 @@ def keep_frequent(
 ) -> DataFrame:
     """Facts of frequent terms only, with the ``bucket`` of their term.
 
-    The document frequencies already tell which terms are hot, so their rows are split for the
-    join without another counting pass. The bucket is computed once per term, not per fact.
+    A vocabulary that was counted and is small goes to the facts. A larger one is joined by shuffle:
+    the document frequencies already tell which terms are hot, so their rows are split without
+    another counting pass. The bucket is computed once per term, not per fact.
     """
     frequent = frequent_terms(term_stats, min_df)
     if "bucket" not in term_stats.columns:
         frequent = with_bucket(frequent, buckets)
-    hot = hot_keys(frequent, "term", "df", min_hot_rows)
-    return salted_join(facts, frequent.select("term", "bucket"), "term", hot, ["doc_id"])
+    vocabulary = frequent.select("term", "bucket")
+    if fits_broadcast(vocabulary):
+        return facts.join(F.broadcast(vocabulary), "term")
+    return salted_join(facts, vocabulary, "term", hot_keys(frequent, "term", "df", min_hot_rows), ["doc_id"])
 
 
 def posting_lists(postings: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:

@@ -12,9 +12,9 @@ HOT_SHARES = 1000
 # Keys below this many rows are not worth splitting.
 HOT_ROWS = 1_000_000
 
-# A side is broadcast only when it was counted and has at most this many rows. Rows of query terms
-# are short: the tokenizer emits no term over 49 characters.
-BROADCAST_ROWS = 200_000
+# A side is broadcast only when it was counted and has at most this many rows. Rows of terms are
+# short, as the tokenizer emits no term over 49 characters: some 100 MB at the most.
+BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(df: DataFrame) -> bool:

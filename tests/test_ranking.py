@@ -78,7 +78,7 @@ def test_shuffled_and_split_join_equals_broadcast(index, queries):
         same(large[query_id], small[query_id])
 
 
-@pytest.mark.parametrize("many_terms, broadcast_rows", [(0, 200_000), (1000, 200_000), (0, 0)])
+@pytest.mark.parametrize("many_terms, broadcast_rows", [(0, 500_000), (1000, 500_000), (0, 0)])
 def test_every_path_of_a_batch_gives_the_same(index, queries, monkeypatch, many_terms, broadcast_rows):
     monkeypatch.setattr("rankloom.plans.search.MANY_TERMS", many_terms)
     monkeypatch.setattr("rankloom.operators.skew.BROADCAST_ROWS", broadcast_rows)
