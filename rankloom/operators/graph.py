@@ -65,6 +65,8 @@ def pagerank(
     sums by a broadcast of those sources, whose number is bounded. Each round is written out, so
     neither the plan nor the loss of an executor grows with the rounds.
     """
+    if rounds < 1:
+        return vertices(edge_rows).withColumn("pagerank", F.lit(1.0))
     spark = edge_rows.sparkSession
     links = materialize(edge_rows.select("src", "dst"), "edges")
     out_degree = materialize(links.groupBy("src").agg(F.count("*").alias("degree")), "out-degree")
@@ -102,8 +104,6 @@ def pagerank(
         sums = materialize(next_sums(sums), f"rank-{turn}")
 
     nodes = out_degree.select(F.col("src").alias("id"))
-    if sums is None:
-        return nodes.union(links.select("dst")).distinct().withColumn("pagerank", F.lit(1.0))
     # Every target has a sum, so sources without one complete the vertices.
     ranks = materialize(
         nodes.join(sums, "id", "full").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks"

@@ -16,7 +16,9 @@ from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join, top_k
 BODY_TOP = 100
 
 
-def document_norms(postings: DataFrame, term_stats: DataFrame, corpus_stats: DataFrame, min_hot_rows: int | None = None) -> DataFrame:
+def document_norms(
+    postings: DataFrame, term_stats: DataFrame, corpus_stats: DataFrame, min_hot_rows: int | None = None
+) -> DataFrame:
     """``(doc_id, norm)``: length of each document's TF-IDF vector over the index vocabulary.
 
     A vocabulary that was counted and is small goes to the facts; with facts by document each task

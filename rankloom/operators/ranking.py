@@ -58,7 +58,9 @@ def indexed_terms(query_term_rows: DataFrame, term_stats: DataFrame, small: bool
     return salted_join(query_term_rows, stats, "term", hot_keys(asked, "term", "n"), ["query_id"])
 
 
-def with_idf(query_term_rows: DataFrame, term_stats: DataFrame, corpus_stats: DataFrame, unknown_zero: bool = False) -> DataFrame:
+def with_idf(
+    query_term_rows: DataFrame, term_stats: DataFrame, corpus_stats: DataFrame, unknown_zero: bool = False
+) -> DataFrame:
     """Query terms with ``df`` and ``idf``; a term outside the index has df 0.
 
     With ``unknown_zero`` such a term has idf 0.0 instead of the formula's largest value. The
