@@ -117,7 +117,7 @@ places as (
     select distinct r, unnest([i, i + 1, i + 2]) as p from windows join twice using (r, g)),
 repeats as (select r, count(*) as n from places group by r),
 lines as (
-    select r, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as l from w),
+    select r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from w),
 counts as (
     select doc_id, lang, t, words, len(words)::bigint as n_words,
            length(array_to_string(words, ''))::bigint as word_chars,
@@ -141,7 +141,7 @@ with {_OP4_COUNTS},
 bare as (
     select *, regexp_replace(t, '\p{{L}}+', '', 'g') as b,
            length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) as upper,
-           list_filter(words, x -> list_contains({vocabulary}, x)) as found
+           list_filter(words, lambda x: list_contains({vocabulary}, x)) as found
     from counts),
 classed as (
     select *, length(regexp_replace(b, '[^\p{{N}}]+', '', 'g')) as digit,
@@ -151,28 +151,28 @@ classed as (
 histograms as (
     select doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, length(t) as n_chars,
            [length(t) - length(b) - upper, upper, digit, space, punctuation, length(b) - digit - space - punctuation] as classes,
-           list_transform({vocabulary}, v -> len(list_filter(found, x -> x = v))) as common
+           list_transform({vocabulary}, lambda v: len(list_filter(found, lambda x: x = v))) as common
     from classed),
 own(lang, places) as (values {own}),
 sums as (
     select lang, [{classes}] as classes, [{common}] as common, sum(n_words) as n_words
     from histograms where lang in (select lang from own) group by lang),
 refs as (
-    select lang, places, list_transform(classes, c -> c / greatest(list_sum(classes), 1)) as class_ref,
-           list_transform(places, i -> common[i] / greatest(n_words, 1)) as own_ref
+    select lang, places, list_transform(classes, lambda c: c / greatest(list_sum(classes), 1)) as class_ref,
+           list_transform(places, lambda i: common[i] / greatest(n_words, 1)) as own_ref
     from sums join own using (lang)),
 pairs as (
-    select h.*, list_zip(list_transform(h.classes, c -> c / greatest(n_chars, 1)), class_ref) as class_pairs,
-           list_zip(list_append(list_transform(places, i -> h.common[i] / greatest(n_words, 1)),
-                                (n_words - list_sum(list_transform(places, i -> h.common[i]))) / greatest(n_words, 1)),
+    select h.*, list_zip(list_transform(h.classes, lambda c: c / greatest(n_chars, 1)), class_ref) as class_pairs,
+           list_zip(list_append(list_transform(places, lambda i: h.common[i] / greatest(n_words, 1)),
+                                (n_words - list_sum(list_transform(places, lambda i: h.common[i]))) / greatest(n_words, 1)),
                     list_append(own_ref, 1 - list_sum(own_ref))) as word_pairs
     from histograms h left join refs on true),
 distances as (
     select * exclude (class_pairs, word_pairs),
-           sqrt(greatest(list_sum(list_transform(class_pairs, z ->
+           sqrt(greatest(list_sum(list_transform(class_pairs, lambda z:
                (case when z[1] > 0 then z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) else 0 end)
                + (case when z[2] > 0 then z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) else 0 end))) / 2, 0)) as cd,
-           sqrt(greatest(list_sum(list_transform(word_pairs, z ->
+           sqrt(greatest(list_sum(list_transform(word_pairs, lambda z:
                (case when z[1] > 0 then z[1] * log2(z[1] / ((z[1] + z[2]) / 2)) else 0 end)
                + (case when z[2] > 0 then z[2] * log2(z[2] / ((z[1] + z[2]) / 2)) else 0 end))) / 2, 0)) as wd
     from pairs),
@@ -195,15 +195,15 @@ w as (
     from documents),
 s as (
     select doc_id, case when len(words) >= 5 then list_distinct(list_transform(range(1, len(words) - 3),
-               i -> array_to_string(words[i:i + 4], ' '))) when len(words) > 0 then [array_to_string(words, ' ')] else [] end as s
+               lambda i: array_to_string(words[i:i + 4], ' '))) when len(words) > 0 then [array_to_string(words, ' ')] else [] end as s
     from w),
 n as (select doc_id, len(s)::bigint as n_shingles from s),
 g as (select doc_id, unnest(s) as g from s),
 links as (
     select a, b from (
-        select x.doc_id as a, y.doc_id as b, count(*) as both from g x join g y on x.g = y.g and x.doc_id <> y.doc_id group by all) p
+        select x.doc_id as a, y.doc_id as b, count(*) as shared from g x join g y on x.g = y.g and x.doc_id <> y.doc_id group by all) p
     join n x on x.doc_id = a join n y on y.doc_id = b
-    where 100 * both >= 75 * (x.n_shingles + y.n_shingles - both)),
+    where 100 * shared >= 75 * (x.n_shingles + y.n_shingles - shared)),
 reach(doc_id, other) as (
     select doc_id, doc_id from n
     union select reach.doc_id, links.b from reach join links on reach.other = links.a)
@@ -256,7 +256,7 @@ i as (
 windows as (
     select distinct item_id, least(13, len(words)) as size,
            unnest(list_transform(range(1, len(words) - least(13, len(words)) + 2),
-                                 k -> array_to_string(words[k:k + least(13, len(words)) - 1], ' '))) as g
+                                 lambda k: array_to_string(words[k:k + least(13, len(words)) - 1], ' '))) as g
     from i where len(words) > 0),
 sizes as (select distinct size from windows),
 grams as (

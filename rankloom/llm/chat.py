@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 _MESSAGES = "array<struct<role string, content string>>"
 _SHARED = "array<struct<from string, value string>>"
 
-#: Every field a record can have.
-RECORD = (
-    f"messages {_MESSAGES}, conversations {_SHARED}, system string, prompt string, completion string, "
-    "response string, instruction string, input string, output string, question string, answer string"
-)
+_TEXTS = "system prompt completion response instruction input output question answer".split()
+
+#: Every field a record can have, with its type; the parts of list elements count as nested fields.
+FIELDS = {"messages": _MESSAGES, "conversations": _SHARED} | dict.fromkeys(_TEXTS, "string")
+PARTS = {"messages": ("content", "role"), "conversations": ("from", "value")}
 
 OPEN, NAMED, CLOSE = "### ", ": ", " </turn>\n"
 
@@ -80,10 +80,9 @@ def fingerprint(paths: Column) -> Column:
 def _filled_paths() -> Column:
     """Sorted paths of the fields that a record fills. The elements of a list count together."""
     paths = []
-    for field in RECORD.replace(_MESSAGES, "messages").replace(_SHARED, "shared").split(", "):
-        name, kind = field.split()
+    for name in FIELDS:
         paths.append(F.when(F.col(name).isNotNull(), F.lit(name)))
-        for part in {"messages": ("content", "role"), "shared": ("from", "value")}.get(kind, ()):
+        for part in PARTS.get(name, ()):
             paths.append(F.when(F.exists(name, lambda x: x[part].isNotNull()), F.lit(f"{name}.{part}")))
     return F.array_sort(F.array_compact(F.array(*paths)))
 
@@ -91,15 +90,14 @@ def _filled_paths() -> Column:
 def canonical_turns(records: DataFrame, key: str = "conv_id") -> DataFrame:
     """``(key, fingerprint, turns array<struct<role, text>>)`` for each record.
 
-    ``records`` has any of the fields of ``RECORD``; those it lacks are null, other columns are
+    ``records`` has any of ``FIELDS``; those it lacks are null, other columns are
     ignored. Null texts inside a known layout are empty; ``turns`` is null for an unknown one.
     """
-    fields = [field.split(" ", 1) for field in RECORD.split(", ") if " string" in field and "<" not in field]
     rows = records.select(
         key,
         *[
             (F.col(name) if name in records.columns else F.lit(None)).cast(kind).alias(name)
-            for name, kind in (("messages", _MESSAGES), ("conversations", _SHARED), *fields)
+            for name, kind in FIELDS.items()
         ],
     ).withColumn("fingerprint", fingerprint(_filled_paths()))
     turns = F.lit(None).cast("array<struct<role string, text string>>")
@@ -111,7 +109,7 @@ def canonical_turns(records: DataFrame, key: str = "conv_id") -> DataFrame:
 
 def from_json(rows: DataFrame, column: str, key: str = "conv_id") -> DataFrame:
     """Records from a column of JSON objects; what is no object has no field."""
-    return rows.select(key, F.from_json(column, RECORD).alias("record")).select(key, "record.*")
+    return rows.select(key, F.from_json(column, ", ".join(f"{name} {kind}" for name, kind in FIELDS.items())).alias("record")).select(key, "record.*")
 
 
 def _escaped(text: Column, escapes=_ESCAPES) -> Column:
