@@ -9,12 +9,14 @@ coordinate-value pairs. Two classes with at least ``MATCHES`` equal coordinates
   are posted, so pairs that half the corpus shares are seldom posted at all;
 * merge: the collisions of a candidate pair are counted on the signatures packed to 4 bits per
   coordinate, inside the join (a packed count is never below the true one);
-* skip: in a first pass each posting list is compared with its first member only. Classes that are
-  already connected need no further comparison, so a second pass joins a list only across
-  components. A group of copies costs its size, not its square, and no link is lost.
-
-A class is named by a 64-bit hash of its set, its node. Candidates above the threshold are confirmed on their full shingle sets. At a similarity of 0.75 a
-pair has 48 matches of 64 on average with a deviation of 3.5; below 30 is beyond 5 deviations.
+* skip: in a few turns each posting list is compared with one member only, its head, and a class
+  is confirmed with its best heads. Classes that are connected by then need no further comparison,
+  so the last pass compares across components only, with a prefix filter on the full sets that is
+  exact. A group of copies costs its size, not its square, and no link is lost.
+
+A class is named by a 64-bit hash of its set, its node. Candidates above the threshold are confirmed
+on their full shingle sets. At a similarity of 0.75 a pair has 48 matches of 64 on average with a
+deviation of 3.5; below 30 is beyond 5 deviations.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -41,6 +43,10 @@ COORDINATES = 64
 MATCHES = 30
 PREFIX = COORDINATES - MATCHES + 1
 
+#: Turns of comparing with the heads of lists, and heads that a class is confirmed with in a turn.
+TURNS = 2
+HEADS = 3
+
 #: Bytes of text hashed together.
 GROUP_BYTES = 1 << 20
 
@@ -174,30 +180,72 @@ def _postings(classes: DataFrame) -> DataFrame:
     return prefix.select("node", "pair.token").join(classes.select("node", "n_shingles", *_LANES), "node")
 
 
-def _star_pairs(postings: DataFrame) -> DataFrame:
-    """``(a, b)``: in each posting list the first class with each other one that may be similar."""
-    member = F.struct("node", "n_shingles", *_LANES)
-    firsts = postings.groupBy("token").agg(F.min(member).alias("head"), F.count("*").alias("n")).where("n > 1")
+def _with_labels(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add ``label``, the component of each posted class, and ``weight``, how many linked classes it has."""
+    sizes = labels.groupBy("component").agg(F.count("*").alias("weight"))
+    known = labels.join(sizes, "component").select("node", F.col("component").alias("label"), "weight")
+    return postings.join(known, "node", "left").withColumns(
+        {"label": F.coalesce("label", "node"), "weight": F.coalesce("weight", F.lit(1))}
+    )
+
+
+def _star_pairs(labelled: DataFrame, turn: int) -> DataFrame:
+    """``(a, b)``: classes with heads of their posting lists, those of most collisions first.
+
+    The head of a list is a member of its largest component, drawn anew each turn. Members of
+    other components are compared with it, and each class keeps its ``HEADS`` best.
+    """
+    member = F.struct("weight", F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n_shingles", "label", *_LANES)
+    firsts = labelled.groupBy("token").agg(F.max(member).alias("head"), F.count("*").alias("n")).where("n > 1")
     heads = firsts.select("token", "head.*").alias("p")
-    found = postings.alias("q").join(
-        heads, (F.col("p.token") == F.col("q.token")) & (F.col("p.node") != F.col("q.node")) & _may_link("p", "q")
+    found = labelled.alias("q").join(
+        heads, (F.col("p.token") == F.col("q.token")) & (F.col("p.label") != F.col("q.label")) & _may_link("p", "q")
     )
-    return found.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    pairs = found.select(
+        F.col("p.node").alias("a"), F.col("q.node").alias("b"), _matches("p", "q").alias("matches")
+    ).distinct()
+    best = Window.partitionBy("b").orderBy(F.desc("matches"), "a")  # at most PREFIX heads of a class
+    return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= HEADS).select("a", "b")
+
 
+def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(a, b)``: classes of different components that may be similar, by their full sets.
 
-def _cross_pairs(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(a, b)``: in each posting list the classes of different components that may be similar."""
-    labelled = postings.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    mixed_lists = (
-        labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    Only classes in posting lists of several components are open still. Their sets are filtered
+    exactly: with shingles from rare to common, two similar sets share one among the first of both, and early enough
+    that what follows can make up the rest of the overlap.
+    """
+    lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    open_ = materialize(labelled.join(lists, "token").select("node", "label").distinct(), "open")
+    rows = _sets(open_, docs, classes).select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1")
+    by_class = (
+        rows.join(shared, "shingle")
+        .groupBy("node", "n")
+        .agg(F.sort_array(F.collect_list(F.struct("m", "shingle"))).alias("common"))
+        .withColumn("alone", F.col("n") - F.size("common"))  # shingles of one class come first
     )
-    open_ = materialize(labelled.join(mixed_lists.select("token"), "token").drop("component"), "open-lists")
-    found = open_.alias("p").join(
-        open_.alias("q"),
-        (F.col("p.token") == F.col("q.token"))
-        & (F.col("p.node") < F.col("q.node"))
+    first = F.floor(F.col("n") * (100 - SIMILAR) / 100).cast("int") + 1
+    posted = (
+        by_class.withColumn("room", first - F.col("alone"))
+        .where("room > 0")
+        .select("node", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("room"))).alias("at", "pair"))
+        .select("node", "n", "pair.shingle", (F.col("alone") + F.col("at") + 1).alias("place"))
+        .join(open_, "node")
+    )
+    posted = materialize(posted, "posted")
+    # The smaller set of a pair needs fewer of its first shingles.
+    fewer = F.floor(F.col("n") * (100 - SIMILAR) / (100 + SIMILAR)).cast("int") + 1
+    small, large = posted.where(F.col("place") <= fewer).alias("p"), posted.alias("q")
+    size_p, size_q = F.col("p.n"), F.col("q.n")
+    overlap = F.least(size_p - F.col("p.place"), size_q - F.col("q.place")) + 1
+    found = small.join(
+        large,
+        (F.col("p.shingle") == F.col("q.shingle"))
         & (F.col("p.label") != F.col("q.label"))
-        & _may_link("p", "q"),
+        & ((size_p < size_q) | ((size_p == size_q) & (F.col("p.node") < F.col("q.node"))))
+        & (size_p * 100 >= size_q * SIMILAR)
+        & (overlap * (100 + SIMILAR) >= (size_p + size_q) * SIMILAR),
     )
     return found.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
@@ -207,19 +255,21 @@ def _bounded_broadcast(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The written pairs ``(a, b)`` whose full shingle sets are similar enough.
-
-    Sets are made again, for the classes in question only, from one document of each.
-    """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialize(classes.select("node", "doc_id").join(nodes, "node"), "wanted")
+def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, shingles)``: the full sets of classes, made again from one document of each."""
+    wanted = materialize(classes.select("node", "doc_id").join(nodes.select("node"), "node"), "wanted")
     ids = _bounded_broadcast(wanted.select(F.col("doc_id").alias("wanted_id")).distinct())
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     sets = texts.mapInArrow(_full_sets, "node long, shingles array<long>")
     # A row that shares the id but not the text has another node.
     sets = sets.join(wanted.select("node"), "node").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = materialize(sets, "sets")
+    return materialize(sets, "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The written pairs ``(a, b)`` whose full shingle sets are similar enough."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(nodes, docs, classes)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
     )
@@ -229,6 +279,12 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFra
     return shared.where(F.col("shared") * (100 + SIMILAR) >= F.col("total") * SIMILAR).select("a", "b")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of what was joined before and the new links."""
+    known = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return materialize(connected_components(known.unionByName(links)), "labels")
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """``(doc_id, node, n_shingles, component_id, root)`` for every row of ``docs (doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -239,13 +295,12 @@ def grouped(docs: DataFrame) -> DataFrame:
         "classes",
     )
     postings = materialize(_postings(classes), "postings")
-    links = materialize(_confirmed(materialize(_star_pairs(postings), "pairs"), docs, classes), "links")
-    labels = materialize(connected_components(links), "labels")
-    crossing = materialize(_cross_pairs(postings, labels), "pairs")
-    if not crossing.isEmpty():
-        more = _confirmed(crossing, docs, classes)
-        joined = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-        labels = materialize(connected_components(joined), "labels")
+    labels = postings.select("node", F.col("node").alias("component")).limit(0)
+    for turn in range(TURNS):
+        pairs = materialize(_star_pairs(_with_labels(postings, labels), turn), "pairs")
+        labels = _joined(labels, _confirmed(pairs, docs, classes))
+    crossing = materialize(_cross_pairs(_with_labels(postings, labels), docs, classes), "pairs")
+    labels = _joined(labels, _confirmed(crossing, docs, classes))
 
     named = classes.select("node", "doc_id", "n").join(labels, "node", "left")
     named = named.select("node", "doc_id", "n", F.coalesce("component", "node").alias("root"))
