@@ -103,15 +103,17 @@ class PrefixCounter:
         return counts
 
     def fitting(self, chunks: list[str], table: np.ndarray, budget: int) -> int:
-        """Characters of the longest prefix of which no part has more tokens than the budget, from the
-        table of its text; only the chunk in which the budget ends is looked into."""
+        """Characters of the longest prefix with at most ``budget`` tokens, from the table of its text.
+
+        Counts at chunk ends only grow, so it ends in the first chunk that does not fit whole, and
+        only that chunk is looked into."""
         whole = int(np.searchsorted(table, budget, "right")) - 1
         done = sum(map(len, chunks[:whole])) + whole - 1  # the first space is not in the text
         if whole == len(chunks):
             return max(done, 0)
         room = budget - int(table[whole])
         within = self.inside(chunks[whole])
-        return max(done + next((i for i, n in enumerate(within) if n > room), len(within)) - 1, 0)
+        return max(done + max(i for i, n in enumerate(within) if n <= room), 0)
 
     def column_tables(self, column: pa.Array) -> Iterator[tuple[int, list]]:
         """For slices of a column: first row, chunks of all rows, bounds of each row's, prefix sums.
