@@ -18,7 +18,7 @@ from rankloom.operators import matching as mt
 from rankloom.operators import ranking as rk
 from rankloom.operators import terms as tx
 from rankloom.plans import search as sr
-from rankloom.plans.build_index import Index, add_documents, build_index
+from rankloom.plans.build_index import Index, add_documents, build_index, save_index
 from rankloom.sources import artifacts, corpus
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -120,11 +120,6 @@ def posting_of_term(spark: SparkSession, sf: str) -> DataFrame:
     return ix.postings_of(fx.index(spark, sf, 0).postings, SAMPLE_TERM, ix.NUM_BUCKETS)
 
 
-@job
-def capped_postings(spark: SparkSession, sf: str) -> DataFrame:
-    return ix.cap_tf(fx.index(spark, sf).postings).select("term", "doc_id", "tf")
-
-
 @job
 def bucket_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return ix.bucket_sizes(fx.index(spark, sf, 0).term_stats)
@@ -140,20 +135,21 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(fx.index(spark, sf).corpus_stats, "avgdl")
 
 
-def grown_index(spark: SparkSession, sf: str) -> Index:
-    """The English documents indexed first, the others added."""
+def grown_index(spark: SparkSession, sf: str, min_df: int = 0) -> Index:
+    """The English documents indexed first, the others added, saved and loaded again."""
 
     def build() -> Index:
         docs = fx.table(spark, sf, "documents")
-        first = build_index(docs.where("lang = 'en'").select("doc_id", "text"), min_df=0)
-        return add_documents(first, docs.where("lang <> 'en'").select("doc_id", "text"))
+        first = build_index(docs.where("lang <=> 'en'").select("doc_id", "text"), min_df=min_df)
+        grown = add_documents(first, docs.where("not lang <=> 'en'").select("doc_id", "text"))
+        return save_index(grown, scratch_path(spark, "grown"))
 
-    return fx.shared(spark, sf, "grown", build)
+    return fx.shared(spark, sf, f"grown-{min_df}", build)
 
 
 @job
 def index_after_add(spark: SparkSession, sf: str) -> DataFrame:
-    return grown_index(spark, sf).term_stats
+    return grown_index(spark, sf).term_stats.select("term", "df", "term_total")
 
 
 @job
@@ -161,6 +157,16 @@ def bm25_after_add(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sr.bm25(grown_index(spark, sf), fx.benchmark_queries(spark, sf)), "score")
 
 
+@job
+def index_after_add_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    return grown_index(spark, sf, ix.MIN_DF).term_stats.select("term", "df", "term_total")
+
+
+@job
+def bm25_after_add_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(sr.bm25(grown_index(spark, sf, ix.MIN_DF), fx.benchmark_queries(spark, sf)), "score")
+
+
 @job
 def saved_doc_lengths(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "dl")

@@ -197,7 +197,6 @@ ORACLE: dict[str, str] = {
         select term, doc_id // {BLOCK_IDS} as block, string_agg(doc_id || ':' || tf, ' ' order by doc_id) as postings
         from facts join stats using (term) where df > {MIN_DF} group by all""",
     "posting_of_term": f"with {FACTS} select doc_id, tf from facts where term = '{SAMPLE_TERM}'",
-    "capped_postings": f"with {FACTS} select term, doc_id, tf % 65536 as tf from facts join stats using (term) where df > {MIN_DF}",
     "bucket_sizes": f"""with {FACTS}
         select (('0x' || left(md5(term), 10))::bigint % {NUM_BUCKETS})::int as bucket,
           count(*) as terms, sum(df)::bigint as postings
@@ -205,6 +204,8 @@ ORACLE: dict[str, str] = {
     "doc_lengths": f"with {FACTS} select * from lengths",
     "corpus_stats": f"with {FACTS} select n, round(avgdl, 6) as avgdl from corpus",
     "index_after_add": f"with {FACTS} select * from stats",
+    "index_after_add_pruned": f"with {FACTS} select * from stats where df > {MIN_DF}",
+    "bm25_after_add_pruned": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found",
     "bm25_after_add": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10, min_df=0)} {RESULT} found",
     "saved_doc_lengths": f"with {FACTS} select * from lengths",
     "saved_titles": f"with {TITLES} select * from page_titles",

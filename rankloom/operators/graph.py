@@ -99,16 +99,18 @@ def pagerank(
                 shares = shares.unionByName(spread.join(F.broadcast(hot_sums), "src", "left").select("dst", share))
         return shares.groupBy(F.col("dst").alias("id")).agg(F.sum("share").alias("total"))
 
-    sums = None
-    for turn in range(1, rounds + 1):
-        sums = materialize(next_sums(sums), f"rank-{turn}")
-
-    nodes = out_degree.select(F.col("src").alias("id"))
-    # Every target has a sum, so sources without one complete the vertices.
-    ranks = materialize(
-        nodes.join(sums, "id", "full").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks"
-    )
-    spark.sql(f"drop table {by_source}")
+    try:
+        sums = None
+        for turn in range(1, rounds + 1):
+            sums = materialize(next_sums(sums), f"rank-{turn}")
+
+        nodes = out_degree.select(F.col("src").alias("id"))
+        # Every target has a sum, so sources without one complete the vertices.
+        ranks = materialize(
+            nodes.join(sums, "id", "full").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks"
+        )
+    finally:
+        spark.sql(f"drop table {by_source}")
     if not rescale:
         return ranks
     scale = ranks.agg((F.count("*") / F.sum("pagerank")).alias("scale")).scalar()

@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from rankloom.functions.text import term_bucket
 from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join
 
-# Rare-term cut, number of buckets, document ids per posting-list block, largest
-# count that 16 bits hold.
+# Rare-term cut, number of buckets, document ids per posting-list block.
 MIN_DF = 50
 NUM_BUCKETS = 124
 BLOCK_IDS = 333_333
-TF_BITS = 65_535
 
 
 def term_statistics(facts: DataFrame) -> DataFrame:
@@ -101,13 +99,12 @@ def corpus_statistics(lengths: DataFrame) -> DataFrame:
 
 
 def merge_statistics(*parts: DataFrame) -> DataFrame:
-    """Add up term statistics of several sets of documents."""
-    united = parts[0].select("term", "df", "term_total")
+    """Add up term statistics of several sets of documents; the bucket of a term stays if all have it."""
+    named = ["bucket"] if all("bucket" in part.columns for part in parts) else []
+    columns = ["term", "df", "term_total", *named]
+    united = parts[0].select(*columns)
     for part in parts[1:]:
-        united = united.unionByName(part.select("term", "df", "term_total"))
-    return united.groupBy("term").agg(F.sum("df").alias("df"), F.sum("term_total").alias("term_total"))
-
-
-def cap_tf(postings: DataFrame) -> DataFrame:
-    """Keep the low 16 bits of each count, as a 2-byte posting does."""
-    return postings.withColumn("tf", F.col("tf").bitwiseAND(F.lit(TF_BITS)))
+        united = united.unionByName(part.select(*columns))
+    return united.groupBy("term").agg(
+        F.sum("df").alias("df"), F.sum("term_total").alias("term_total"), *[F.min(name).alias(name) for name in named]
+    )

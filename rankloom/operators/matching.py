@@ -67,7 +67,9 @@ def body_search(
         .agg(F.sum(F.col("tf") * F.col("idf") * F.col("query_weight")).alias("dot"))
         .where("dot > 0")
     )
-    scored = dots.join(norms, "doc_id").join(query_norms, "query_id").select(
+    # A row per query; a batch that fits a broadcast has no more of them than terms.
+    query_norms = F.broadcast(query_norms) if small else query_norms
+    scored = dots.join(query_norms, "query_id").join(norms, "doc_id").select(
         "query_id", "doc_id", (F.col("dot") / (F.col("norm") * F.col("query_norm"))).alias("score")
     )
     order = [F.desc(nine_places("score")), F.asc("doc_id")]

@@ -69,7 +69,10 @@ def with_idf(
     asked = term_stats.select("term", "df").join(query_term_rows.select("term").distinct(), "term", "left_semi")
     n = corpus_stats.select("n").scalar()
     formula = idf(n, F.coalesce("df", F.lit(0)))
-    return query_term_rows.join(asked, "term", "left").select(
+    # A word that most queries share is hot on the query side.
+    counts = query_term_rows.groupBy("term").agg(F.count("*").alias("rows"))
+    joined = salted_join(query_term_rows, asked, "term", hot_keys(counts, "term", "rows"), ["query_id"], "left")
+    return joined.select(
         *query_term_rows.columns,
         F.coalesce("df", F.lit(0)).alias("df"),
         (F.when(F.col("df").isNull(), F.lit(0.0)).otherwise(formula) if unknown_zero else formula).alias("idf"),
@@ -139,7 +142,9 @@ def rerank(candidates: DataFrame, ranks: DataFrame, k: int = TOP, alpha: float =
 def attach(rows: DataFrame, values: DataFrame, key: str) -> DataFrame:
     """Left join with a table of one row per key, cut first to the keys asked for."""
     needed = values.join(rows.select(key).distinct(), key, "left_semi")
-    return rows.join(needed, key, "left")
+    counts = rows.groupBy(key).agg(F.count("*").alias("rows"))
+    others = [name for name in rows.columns if name != key]
+    return salted_join(rows, needed, key, hot_keys(counts, key, "rows"), others, "left")
 
 
 def with_titles(results: DataFrame, titles: DataFrame, missing: str = NO_TITLE) -> DataFrame:

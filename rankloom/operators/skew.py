@@ -5,42 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# At most HOT_SHARES keys can each hold more than 1/HOT_SHARES of all rows, so a table of hot keys
-# never has more rows than this and can be broadcast whatever the data size.
-HOT_SHARES = 1000
+# Rows that one part of a key may have: keys above it are split into parts of this size.
+HOT_ROWS = 5_000_000
 
-# Keys below this many rows are not worth splitting.
-HOT_ROWS = 1_000_000
+# Hot keys there may be, so that their table can be broadcast.
+HOT_KEYS = 500_000
 
-# A side is broadcast only when it was counted and has at most this many rows. Rows of terms are
-# short, as the tokenizer emits no term over 49 characters: some 100 MB at the most.
+# A side is broadcast only when it was counted and has at most this many rows and bytes of strings.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 100_000_000
+
+
+def _measures(df: DataFrame) -> list[Column]:
+    """Rows and bytes of strings; partial sums leave one row per task."""
+    strings = [F.octet_length(f.name) for f in df.schema if f.dataType.simpleString() == "string"]
+    length = sum((F.coalesce(s, F.lit(0)).cast("long") for s in strings), F.lit(0).cast("long"))
+    return [F.count("*").alias("rows"), F.coalesce(F.sum(length), F.lit(0)).alias("bytes")]
+
+
+def _fits(measured) -> bool:
+    return measured.rows <= BROADCAST_ROWS and measured.bytes <= BROADCAST_BYTES
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Count up to the broadcast bound and tell whether ``df`` is within it."""
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    """Count all of ``df`` and tell whether it is within the broadcast bounds."""
+    return _fits(df.agg(*_measures(df)).first())
 
 
 def batch_size(query_term_rows: DataFrame) -> tuple[bool, int]:
-    """Whether the query terms fit a broadcast, and how many distinct terms a fitting batch has."""
-    size = query_term_rows.limit(BROADCAST_ROWS + 1).agg(
-        F.count("*").alias("rows"), F.countDistinct("term").alias("terms")
-    ).first()
-    return size.rows <= BROADCAST_ROWS, size.terms
+    """Whether the query terms fit a broadcast, and how many distinct terms there are."""
+    size = query_term_rows.agg(*_measures(query_term_rows)).first()
+    return _fits(size), query_term_rows.select("term").distinct().count()
 
 
 def hot_keys(counts: DataFrame, key: str, count: str, min_rows: int | None = None) -> DataFrame:
-    """``(key, splits)`` for the keys that hold more than their share, from rows per key.
+    """``(key, splits)`` for the keys with more rows than one part may have, from rows per key.
 
-    ``splits`` is the number of parts that brings each part down to one share.
+    The size of a part is absolute, whatever the share of the key. Only where more than
+    ``HOT_KEYS`` keys could be hot are the smallest of them left whole, so the table of hot keys always
+    has a bounded number of rows.
     """
-    min_rows = HOT_ROWS if min_rows is None else min_rows
+    target = max(HOT_ROWS if min_rows is None else min_rows, 1)
     total = counts.agg(F.sum(count).alias("total")).scalar()
-    share = F.greatest(total / F.lit(HOT_SHARES), F.lit(float(min_rows)))
-    return counts.where(F.col(count) > share).select(
-        key, F.ceil(F.col(count) / F.greatest(share, F.lit(1.0))).cast("int").alias("splits")
-    )
+    least = F.greatest(total / F.lit(HOT_KEYS), F.lit(float(target)))
+    return counts.where(F.col(count) > least).select(key, F.ceil(F.col(count) / target).cast("int").alias("splits"))
 
 
 def salted_join(

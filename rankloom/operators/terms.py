@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import STOP_WORDS, tokens
+from rankloom.operators.skew import hot_keys, salted_join
 
 
 def token_table(
@@ -100,8 +101,10 @@ def map_terms(query_term_rows: DataFrame, stems: DataFrame) -> DataFrame:
 
     Words that share a stem become one term whose repeats add up.
     """
+    counts = query_term_rows.groupBy("term").agg(F.count("*").alias("rows"))
+    hot = hot_keys(counts, "term", "rows")
     return (
-        query_term_rows.join(stems.select("term", "stem"), "term", "left")
+        salted_join(query_term_rows, stems.select("term", "stem"), "term", hot, ["query_id"], "left")
         .withColumn("term", F.coalesce("stem", "term"))
         .groupBy("query_id", "term")
         .agg(F.sum("qtf").alias("qtf"), F.min("pos").alias("pos"))

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankloom import schemas
 from rankloom.durable import materialize, scratch_path
@@ -20,7 +21,9 @@ class Index:
     """The tables a search reads.
 
     The facts are there twice: by term in ``postings``, of which a few terms need only a part, and
-    by document in ``doc_terms``, where all a document's terms are in one task.
+    by document in ``doc_terms``, where all a document's terms are in one task. ``term_stats`` are
+    the statistics of the terms above the cut, ``min_df``, and decide in both layouts what a query
+    term finds. ``all_stats`` are those of all terms, from which the cut is made anew when documents are added.
     """
 
     postings: DataFrame
@@ -28,6 +31,9 @@ class Index:
     doc_lengths: DataFrame
     corpus_stats: DataFrame
     doc_terms: DataFrame | None = None
+    all_stats: DataFrame | None = None
+    min_df: int = 0
+    buckets: int = ix.NUM_BUCKETS
 
 
 def build_index(
@@ -37,7 +43,7 @@ def build_index(
     stop_words: Iterable[str] = STOP_WORDS,
     buckets: int = ix.NUM_BUCKETS,
 ) -> Index:
-    """Index ``docs (doc_id, text)``, with ``doc_id`` unique, into the folder ``path``.
+    """Index ``docs (doc_id, text)`` into the folder ``path``; rows of one ``doc_id`` are one document.
 
     The text is read and tokenized once, without a shuffle, into a table of one row per document;
     everything else is read from that. Term statistics shuffle one row per term and task. Only
@@ -45,49 +51,100 @@ def build_index(
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "index")
-    tx.doc_terms(docs, stop_words).write.parquet(f"{path}/doc_terms", mode="overwrite")
+    per_doc = _whole_documents(tx.doc_terms(docs, stop_words))
+    per_doc.write.parquet(f"{path}/doc_terms", mode="overwrite")
     per_doc = spark.read.schema(schemas.DOC_TERMS).parquet(f"{path}/doc_terms")
     facts = tx.term_facts(per_doc)
 
-    stats = ix.with_bucket(ix.frequent_terms(ix.term_statistics(facts), min_df), buckets)
-    stats.write.parquet(f"{path}/term_stats", mode="overwrite")
+    ix.with_bucket(ix.term_statistics(facts), buckets).write.parquet(f"{path}/term_stats", mode="overwrite")
     stats = spark.read.schema(schemas.TERM_STATS).parquet(f"{path}/term_stats")
     ix.corpus_statistics(per_doc).write.parquet(f"{path}/corpus_stats", mode="overwrite")
     postings = ix.keep_frequent(facts, stats, min_df) if min_df > 0 else facts
     save_postings(postings, f"{path}/postings", buckets)
+    _save_settings(spark, path, min_df, buckets)
     return load_index(spark, path)
 
 
+def _whole_documents(per_doc: DataFrame) -> DataFrame:
+    """One row per document: rows that share an id are added up. Written, as it is read twice."""
+    per_doc = materialize(per_doc, "doc-terms")
+    repeated = per_doc.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = materialize(repeated, "repeated-ids")
+    if repeated.isEmpty():
+        return per_doc
+    parts = per_doc.join(repeated, "doc_id", "left_semi").select("doc_id", F.explode_outer("terms").alias("t"))
+    added = parts.groupBy("doc_id", F.col("t.term").alias("term")).agg(F.sum("t.tf").alias("tf"))
+    terms = F.sort_array(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tf"))))
+    whole = added.groupBy("doc_id").agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("dl"), terms.alias("terms"))
+    return per_doc.join(repeated, "doc_id", "left_anti").unionByName(whole.select("doc_id", "dl", "terms"))
+
+
+def _save_settings(spark: SparkSession, path: str, min_df: int, buckets: int) -> None:
+    spark.createDataFrame([(min_df, buckets)], schemas.SETTINGS).write.parquet(f"{path}/settings", mode="overwrite")
+
+
 def load_index(spark: SparkSession, path: str) -> Index:
     """The index saved in ``path``; a missing table is empty."""
     per_doc = load_or_empty(spark, f"{path}/doc_terms", schemas.DOC_TERMS)
+    all_stats = load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS)
+    settings = load_or_empty(spark, f"{path}/settings", schemas.SETTINGS).first()
+    min_df, buckets = (settings.min_df, settings.buckets) if settings else (0, ix.NUM_BUCKETS)
     return Index(
         load_or_empty(spark, f"{path}/postings", schemas.POSTINGS),
-        load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS),
+        ix.frequent_terms(all_stats, min_df),
         _lengths(per_doc),
         load_or_empty(spark, f"{path}/corpus_stats", schemas.CORPUS_STATS),
         per_doc,
+        all_stats,
+        min_df,
+        buckets,
     )
 
 
+def save_index(index: Index, path: str) -> Index:
+    """Write an index, such as a grown one, to a new folder and load it from there."""
+    spark = index.postings.sparkSession
+    index.doc_terms.write.parquet(f"{path}/doc_terms")
+    index.all_stats.select("term", "df", "term_total", "bucket").write.parquet(f"{path}/term_stats")
+    index.corpus_stats.write.parquet(f"{path}/corpus_stats")
+    save_postings(index.postings, f"{path}/postings", index.buckets, mode="errorifexists")
+    _save_settings(spark, path, index.min_df, index.buckets)
+    return load_index(spark, path)
+
+
 def _lengths(per_doc: DataFrame) -> DataFrame:
     return per_doc.where("dl > 0").select("doc_id", "dl")
 
 
 def add_documents(index: Index, docs: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> Index:
-    """The index with more ``docs (doc_id, text)``.
+    """The index with more ``docs (doc_id, text)``, the same as one build over old and new documents.
 
-    Each new document raises the df of its terms by 1 and their totals by its counts; nothing
-    already indexed is read again, and documents are not checked for repeats.
+    Each new document raises the df of its terms by 1 and their totals by its counts, and the cut is
+    made on the sums. Old postings stay as they are; those of a term that passes the cut only now
+    come from the stored documents. New ids are not compared with those of the index.
     """
-    per_doc = materialize(tx.doc_terms(docs, stop_words), "added-terms")
+    per_doc = materialize(_whole_documents(tx.doc_terms(docs, stop_words)), "added-terms")
     facts = tx.term_facts(per_doc)
-    postings = index.postings.select("term", "doc_id", "tf", "dl").unionByName(facts)
+    added = ix.with_bucket(ix.term_statistics(facts), index.buckets)
+    all_stats = materialize(ix.merge_statistics(index.all_stats, added), "term-stats")
+    stats = ix.frequent_terms(all_stats, index.min_df)
+    columns = ["term", "doc_id", "tf", "dl", "bucket"]
+    kept = ix.keep_frequent(facts, all_stats, index.min_df, index.buckets).select(*columns)
+    postings = index.postings.select(*columns).unionByName(kept)
+    if index.min_df > 0:
+        old = index.term_stats.select("term")
+        risen = materialize(stats.join(old, "term", "left_anti").join(index.all_stats.select("term"), "term", "left_semi"), "risen")
+        if not risen.isEmpty():
+            late = ix.keep_frequent(tx.term_facts(index.doc_terms), risen, index.min_df, index.buckets)
+            postings = postings.unionByName(late.select(*columns))
     lengths = index.doc_lengths.unionByName(_lengths(per_doc))
     return Index(
         postings,
-        ix.merge_statistics(index.term_stats, ix.term_statistics(facts)),
+        stats,
         lengths,
         ix.corpus_statistics(lengths),
-        None if index.doc_terms is None else index.doc_terms.unionByName(per_doc),
+        index.doc_terms.unionByName(per_doc),
+        all_stats,
+        index.min_df,
+        index.buckets,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rankloom.durable import materialize
 from rankloom.functions.scoring import B, B_CLASSIC, K1
@@ -38,20 +39,24 @@ def bm25(
     if stems is not None:
         terms = map_terms(terms, stems)
     small, distinct = batch_size(terms)
-    facts = facts_for(index, distinct)
+    facts = facts_for(index, distinct, terms)
     lengths = None if "dl" in facts.columns else index.doc_lengths
     scores = rk.bm25_scores(facts, index.term_stats, index.corpus_stats, terms, lengths, k1, b, small)
     return rk.best_first(scores, k)
 
 
-def facts_for(index: Index, distinct_terms: int) -> DataFrame:
+def facts_for(index: Index, distinct_terms: int, terms: DataFrame) -> DataFrame:
     """The postings for a few query terms, the facts by document for many.
 
     A few terms touch a few buckets, and the others are not read. With more terms than buckets
     nearly all are read anyway; then it pays that a document's terms meet in one task, where its
     partial sum per query is already complete, so that one row per pair is shuffled.
     """
-    if index.doc_terms is None or distinct_terms <= MANY_TERMS:
+    if distinct_terms <= MANY_TERMS:
+        # So few terms go into the plan, where they reach the scan and skip row groups.
+        asked = [row.term for row in terms.select("term").distinct().collect()]
+        return index.postings.where(F.col("term").isin(asked))
+    if index.doc_terms is None:
         return index.postings
     return term_facts(index.doc_terms)
 
@@ -60,7 +65,7 @@ def body(index: Index, queries: DataFrame, norms: DataFrame | None = None, k: in
     """``(query_id, rank, doc_id, score)``: body search of each query ``(query_id, query)``."""
     terms = query_terms(queries)
     small, distinct = batch_size(terms)
-    facts = facts_for(index, distinct)
+    facts = facts_for(index, distinct, terms)
     if norms is None:
         by_doc = index.postings if index.doc_terms is None else term_facts(index.doc_terms)
         norms = document_norms(by_doc, index.term_stats, index.corpus_stats)

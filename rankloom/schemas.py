@@ -43,6 +43,8 @@ DOC_LENGTHS = _table(("doc_id", ID), ("dl", T.LongType()))
 
 CORPUS_STATS = _table(("n", T.LongType()), ("avgdl", T.DoubleType()))
 
+SETTINGS = _table(("min_df", T.LongType()), ("buckets", T.IntegerType()))
+
 TITLES = _table(("doc_id", ID), ("title", T.StringType()))
 
 PAGERANK = _table(("id", ID), ("pagerank", T.DoubleType()))

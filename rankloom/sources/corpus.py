@@ -31,11 +31,17 @@ def page_count(corpus: DataFrame) -> DataFrame:
     return corpus.agg(F.count("*").alias("pages"))
 
 
+# Bytes of files up to which a scan is small.
+SMALL_SCAN_BYTES = 1 << 30
+
+
 def spread_small(scan: DataFrame) -> DataFrame:
-    """Spread a file scan that has fewer splits than the cluster has cores.
+    """Spread a file scan of bounded size that has fewer splits than the cluster has cores.
 
-    Such a scan is small, but costly work on it, like tokenizing, would leave cores idle: a file of
-    one row group is read by one task. Larger scans are left alone, so their text is not shuffled.
+    Costly work on it, like tokenizing, would leave cores idle: a file of one row group is read by
+    one task. A scan above ``SMALL_SCAN_BYTES`` is left alone however many cores there are.
     """
+    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    small = size <= SMALL_SCAN_BYTES and scan.rdd.getNumPartitions() < cores
+    return scan.repartition(cores) if small else scan

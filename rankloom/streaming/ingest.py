@@ -29,7 +29,7 @@ def index_stream(
         tx.doc_terms(batch, stop_words).write.parquet(table, mode="overwrite")
         facts = tx.term_facts(spark.read.schema(schemas.DOC_TERMS).parquet(table))
         save_postings(facts, f"{path}/postings/batch={batch_id}", buckets)
-        ix.term_statistics(facts).write.parquet(f"{path}/term_stats/batch={batch_id}", mode="overwrite")
+        ix.with_bucket(ix.term_statistics(facts), buckets).write.parquet(f"{path}/term_stats/batch={batch_id}", mode="overwrite")
 
     return docs.writeStream.foreachBatch(add)
 
@@ -38,10 +38,6 @@ def load_stream_index(spark: SparkSession, path: str) -> Index:
     """The index of all batches so far; statistics of the batches add up."""
     per_doc = load_or_empty(spark, f"{path}/doc_terms", schemas.DOC_TERMS).select("doc_id", "dl", "terms")
     lengths = per_doc.where("dl > 0").select("doc_id", "dl")
-    return Index(
-        load_or_empty(spark, f"{path}/postings", schemas.POSTINGS).select("term", "doc_id", "tf", "dl"),
-        ix.merge_statistics(load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS)),
-        lengths,
-        ix.corpus_statistics(lengths),
-        per_doc,
-    )
+    stats = ix.merge_statistics(load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS))
+    postings = load_or_empty(spark, f"{path}/postings", schemas.POSTINGS).select("term", "doc_id", "tf", "dl", "bucket")
+    return Index(postings, stats, lengths, ix.corpus_statistics(lengths), per_doc, stats)

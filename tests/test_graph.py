@@ -49,7 +49,7 @@ def test_pagerank_of_six_vertices(spark, min_hot_rows):
 def test_pagerank_with_some_hot_sources(spark, monkeypatch):
     random.seed(3)
     edges = {(random.randrange(60), random.randrange(60)) for _ in range(250)} | {(0, d) for d in range(60)} | {(d, 1) for d in range(60)}
-    monkeypatch.setattr("rankloom.operators.skew.HOT_SHARES", 20)
+    monkeypatch.setattr("rankloom.operators.skew.HOT_KEYS", 20)
     wanted = model_pagerank(list(edges))
     assert ranks_of(gr.pagerank(frame(spark, list(edges)), min_hot_rows=0)) == pytest.approx(wanted, abs=1e-9)
     assert ranks_of(gr.pagerank(frame(spark, list(edges)))) == pytest.approx(wanted, abs=1e-9)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from rankloom import schemas
 from rankloom.operators import index as ix
 from rankloom.operators import terms as tx
-from rankloom.plans.build_index import add_documents, build_index, load_index
+from rankloom.plans.build_index import add_documents, build_index, load_index, save_index
+from rankloom.plans.search import bm25
 from rankloom.sources import artifacts, corpus
 from rankloom.sources.judgments import judgment_table, query_table, read_judgments
 
@@ -89,15 +90,43 @@ def test_posting_lists_come_in_sorted_blocks(spark):
 def test_add_documents_equals_one_build(spark, docs):
     whole = build_index(docs, min_df=0)
     grown = add_documents(build_index(docs.where("doc_id <= 2"), min_df=0), docs.where("doc_id > 2"))
-    assert rows(grown.term_stats) == rows(whole.term_stats.select("term", "df", "term_total"))
-    assert rows(grown.postings) == rows(whole.postings.select("term", "doc_id", "tf", "dl"))
+    assert rows(grown.term_stats.select("term", "df", "term_total")) == rows(whole.term_stats.select("term", "df", "term_total"))
+    assert rows(grown.postings.select("term", "doc_id", "tf", "dl")) == rows(whole.postings.select("term", "doc_id", "tf", "dl"))
     assert rows(grown.doc_lengths) == rows(whole.doc_lengths)
     assert rows(grown.corpus_stats) == rows(whole.corpus_stats)
 
 
-def test_cap_tf(spark):
-    postings = spark.createDataFrame([("a", 1, 65535), ("b", 1, 65536), ("c", 1, 65539)], "term string, doc_id long, tf long")
-    assert [r.tf for r in ix.cap_tf(postings).orderBy("term").collect()] == [65535, 0, 3]
+@pytest.mark.parametrize("min_df", [0, 1, 2, 5])
+def test_a_grown_index_equals_one_build_at_every_cut(spark, sf_dir, folder, min_df):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    whole = build_index(docs, min_df=min_df)
+    grown = save_index(
+        add_documents(build_index(docs.where("doc_id % 3 = 0"), min_df=min_df), docs.where("doc_id % 3 <> 0")),
+        f"{folder}/grown-{min_df}",
+    )
+    for name in ("term_stats", "postings", "doc_lengths", "corpus_stats"):
+        of = getattr(whole, name)
+        assert rows(getattr(grown, name).select(of.columns)) == rows(of)
+
+
+def test_a_query_has_the_same_results_alone_and_in_a_batch(spark):
+    old = spark.createDataFrame([(i, "rare moon" if i < 3 else f"moon filler{i}") for i in range(8)], "doc_id long, text string")
+    new = spark.createDataFrame([(i, "rare sun") for i in range(8, 12)], "doc_id long, text string")
+    grown = add_documents(build_index(old, min_df=5), new)
+    alone = spark.createDataFrame([(1, "rare")], "query_id long, query string")
+    batch = spark.createDataFrame([(1, "rare"), (2, " ".join(f"word{i}" for i in range(200)))], "query_id long, query string")
+    found = rows(bm25(grown, alone))
+    assert len(found) == 7 and rows(bm25(grown, batch).where("query_id = 1")) == found
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    docs = spark.createDataFrame([(1, "moon moon sun"), (1, "moon star"), (2, "sun")], "doc_id long, text string")
+    index = build_index(docs, min_df=0)
+    assert rows(index.doc_lengths) == [(1, 5), (2, 1)]
+    assert rows(index.postings.select("term", "doc_id", "tf", "dl")) == [
+        ("moon", 1, 3, 5), ("star", 1, 1, 5), ("sun", 1, 1, 5), ("sun", 2, 1, 1)
+    ]
+    assert rows(index.corpus_stats) == [(2, 3.0)]
 
 
 def test_lengths_longest_first(spark, docs):

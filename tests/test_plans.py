@@ -12,7 +12,7 @@ from rankloom.operators import index as ix
 from rankloom.operators import matching as mt
 from rankloom.operators import ranking as rk
 from rankloom.operators import terms as tx
-from rankloom.operators.skew import hot_keys
+from rankloom.operators.skew import _measures, hot_keys
 from rankloom.plans.search import bm25
 
 
@@ -62,12 +62,28 @@ def test_month_and_columns_reach_the_scan(spark, sf_dir):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in text
 
 
-def test_hot_keys_are_few(spark):
+def test_hot_keys_are_few_and_split_by_rows(spark, monkeypatch):
     counts = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("n"))
+    monkeypatch.setattr("rankloom.operators.skew.HOT_KEYS", 1000)
     assert hot_keys(counts, "key", "n", 0).count() <= 1000
     assert hot_keys(counts, "key", "n").count() == 0
     skewed = spark.createDataFrame([("a", 100_000)] + [(f"k{i}", 1) for i in range(50)], "key string, n long")
-    assert [tuple(r) for r in hot_keys(skewed, "key", "n", 0).where("key = 'a'").collect()] == [("a", 1000)]
+    assert [tuple(r) for r in hot_keys(skewed, "key", "n", 100).collect()] == [("a", 1000)]
+
+
+def test_a_key_with_a_small_share_is_split(spark):
+    counts = spark.createDataFrame([("a", 500_000_000), ("b", 10**12 - 500_000_000)], "key string, n long")
+    assert dict(map(tuple, hot_keys(counts, "key", "n").collect()))["a"] == 100
+
+
+def test_counting_a_batch_has_no_funnel(spark, sf_dir):
+    terms = tx.query_terms(fx.benchmark_queries(spark, sf_dir))
+    assert "Limit" not in plan(terms.agg(*_measures(terms)))
+
+
+def test_few_terms_reach_the_posting_scan(spark, sf_dir):
+    few = spark.createDataFrame([(1, "eau inin tion")], "query_id long, query string")
+    assert "In(term" in plan(bm25(fx.index(spark, sf_dir), few))
 
 
 @pytest.mark.parametrize("name", ["edges", "vertices", "link_rows"])
