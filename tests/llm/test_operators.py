@@ -165,14 +165,18 @@ def test_warc_round_trip_and_salvage(spark, tmp_path, compress):
 
 
 def test_quality_counts_and_guards(docs, edge_rows):
-    good = " ".join(f"the w{i} of" for i in range(60))
-    got = {r.doc_id: r for r in quality.quality(docs("a b c a b c x\n\na b\na b", "$# x|y", good, "$$$ " * 200)).collect()}
+    def good(n):
+        return " ".join(f"the w{n}x{i} of" for i in range(60))
+
+    texts = ["a b c a b c x\n\na b\na b", "$# x|y", "a$$$ b%%% c*** " * 3 + " ".join(f"x{i}$$$&&&" for i in range(150))]
+    got = {r.doc_id: r for r in quality.quality(docs(*texts, *map(good, range(20)))).collect()}
     assert (got[0].n_words, got[0].n_dup_lines, got[0].n_repeat_words, got[0].word_chars) == (11, 1, 6, 11)
-    assert got[1].n_symbols == 3 and got[2].kept and not got[3].kept
+    assert got[1].n_symbols == 3 and not got[2].kept and not got[2].base_failed
+    assert all(got[i].kept for i in range(3, 23))
     edge = quality.quality(edge_rows).collect()
     assert len(edge) == 8 and all(r.base_failed for r in edge)
-    assert quality.keep_good(docs(good, "short", None)).columns == docs("x").columns
-    assert [r.doc_id for r in quality.keep_good(docs(good, "short", None)).collect()] == [0]
+    assert quality.keep_good(docs(good(1), "short", None)).columns == docs("x").columns
+    assert [r.doc_id for r in quality.keep_good(docs(good(1), "short", None)).collect()] == [0]
     assert quality.quality(edge_rows.limit(0)).count() == 0
 
 
