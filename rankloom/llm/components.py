@@ -17,13 +17,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     a node with itself and repeated links do no harm; no links give no rows.
     """
     edges = materialize(_ordered(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "links")
-    seen = _state(edges)
-    while seen[0]:
+    while not _all_stars(edges):
         edges = materialize(_small_star(_large_star(edges)), "links")
-        now = _state(edges)
-        if now == seen:
-            break
-        seen = now
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
@@ -35,10 +30,13 @@ def _ordered(edges: DataFrame) -> DataFrame:
     return edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number of links and a checksum, to see when nothing changes."""
-    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs under a single one, which itself hangs under none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+    )
+    by_node = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return by_node.where("hangs > 1 or hangs + holds > 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -48,7 +46,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = _ordered(edges)
-    smallest = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    """Links come from the larger to the smaller node; repeated ones fold into the result."""
+    smallest = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = edges.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return _ordered(moved.unionByName(smallest.select("u", F.col("m").alias("v"))))
