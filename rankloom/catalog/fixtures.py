@@ -44,6 +44,16 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
+# Queries that find nothing: no word, stop words only, a word of no document.
+EDGE_QUERIES = ((-1, ""), (-2, "the and for"), (-3, "zzqxjvk"))
+
+
+def edge_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, query)``: the benchmark queries and those that find nothing."""
+    queries = benchmark_queries(spark, sf_dir)
+    return queries.unionByName(spark.createDataFrame(EDGE_QUERIES, queries.schema))
+
+
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, doc_id, title, anchor_text)`` from the HTML of the pages table."""
     anchor = r'<a [^>]*href="([^"]*)"[^>]*>(.*?)</a>'

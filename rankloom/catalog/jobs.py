@@ -26,6 +26,9 @@ Job = Callable[[SparkSession, str], DataFrame]
 # A word that occurs in every size of the documents table.
 SAMPLE_TERM = "eau"
 
+# Results per query where the cuts of the metrics, 5, 30 and 40, are to show.
+DEEP_RESULTS = 50
+
 JOBS: dict[str, Job] = {}
 
 
@@ -238,6 +241,12 @@ def bm25_classic_top10(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(found, "score")
 
 
+@job
+def bm25_edge_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries without words, with stop words only and with unknown words among the others."""
+    return rounded(sr.bm25(fx.index(spark, sf), fx.edge_queries(spark, sf)), "score")
+
+
 @job
 def rerank(spark: SparkSession, sf: str) -> DataFrame:
     found = sr.bm25_with_pagerank(fx.index(spark, sf), fx.benchmark_queries(spark, sf), fx.blending_ranks(spark, sf))
@@ -359,12 +368,7 @@ def average_precision(spark: SparkSession, sf: str) -> DataFrame:
 
 @job
 def precision_recall_f1(spark: SparkSession, sf: str) -> DataFrame:
-    inputs = _judged(spark, sf)
-    return (
-        ev.precision_at_k(*inputs, 5)
-        .join(ev.recall_at_k(*inputs, 5), "query_id")
-        .join(ev.f1_at_k(*inputs, 5), "query_id")
-    )
+    return ev.precision_recall_f1(*_judged(spark, sf), 5)
 
 
 @job
@@ -377,6 +381,22 @@ def eval_per_query(spark: SparkSession, sf: str) -> DataFrame:
     return ev.evaluate(*_judged(spark, sf))
 
 
+def _deep(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """More results than any metric looks at, and queries without results."""
+    queries = fx.edge_queries(spark, sf)
+    return queries, sr.bm25(fx.index(spark, sf), queries, DEEP_RESULTS), fx.judgments(spark, sf)
+
+
+@job
+def eval_edge_queries(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.evaluate(*_deep(spark, sf))
+
+
+@job
+def average_precision_edge_queries(spark: SparkSession, sf: str) -> DataFrame:
+    return ev.average_precision(*_deep(spark, sf))
+
+
 @job
 def eval_summary(spark: SparkSession, sf: str) -> DataFrame:
     queries, ranks, names = fx.benchmark_queries(spark, sf), fx.blending_ranks(spark, sf), fx.page_titles(spark, sf)

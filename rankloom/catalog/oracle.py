@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from rankloom.catalog.fixtures import VIEW_MONTH
-from rankloom.catalog.jobs import SAMPLE_TERM
+from rankloom.catalog.fixtures import EDGE_QUERIES, VIEW_MONTH
+from rankloom.catalog.jobs import DEEP_RESULTS, SAMPLE_TERM
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators.index import BLOCK_IDS, MIN_DF, NUM_BUCKETS
 
@@ -27,7 +27,9 @@ def _tokens(name: str, table: str, key: str, text: str, stops: str | None) -> st
 
 STOPS = _quoted(STOP_WORDS)
 DOC_TOKENS = _tokens("doc_tokens", "documents", "doc_id", "text", STOPS)
-QUERY_TOKENS = _tokens("query_tokens", "(select item_id as query_id, text from benchmark)", "query_id", "text", STOPS)
+QUERIES = "(select item_id as query_id, text from benchmark)"
+QUERY_TOKENS = _tokens("query_tokens", QUERIES, "query_id", "text", STOPS)
+WITH_EDGES = f"(from {QUERIES} union all values {', '.join(map(str, EDGE_QUERIES))})"
 FACTS = f"""{DOC_TOKENS},
     facts as (select term, doc_id, count(*) as tf from doc_tokens group by all),
     lengths as (select doc_id, sum(tf)::bigint as dl from facts group by doc_id),
@@ -138,7 +140,7 @@ JUDGMENTS = """
       group by query_id, doc_id, needed having count(*) = needed
     )"""
 METRICS = f"""{SEARCH}, {JUDGMENTS},
-    queries as (select item_id as query_id from benchmark),
+    queries as (select query_id from {QUERIES}),
     judged as (
       select query_id, rank, case when j.doc_id is null then 0 else 1 end as hit
       from reranked left join judgments j using (query_id, doc_id)
@@ -172,6 +174,16 @@ METRICS = f"""{SEARCH}, {JUDGMENTS},
         case when p5 = 0 or f30 = 0 then 0 else printf('%.3f', 2 / (1 / p5 + 1 / f30))::double end as quality
       from scores
     )"""
+DEEP = METRICS.replace(SEARCH, f"{FACTS}, {QUERY_TERMS}, {_bm25('reranked', DEEP_RESULTS)}").replace(QUERIES, WITH_EDGES)
+AVERAGE_PRECISION = """
+        running as (
+          select query_id, rank, hit, sum(hit) over (partition by query_id order by rank) / rank as precision
+          from judged where rank <= 40
+        ),
+        means as (select query_id, avg(precision) as mean from running where hit = 1 group by query_id)
+        select query_id, coalesce(printf('%.3f', mean)::double, 0) as average_precision
+        from queries left join means using (query_id)"""
+PER_QUERY = "select query_id, results, case when results > 0 then quality end as quality from quality"
 RESULT = "select query_id, rank, doc_id, round(score, 6) as score from"
 VIEWS = f"""
     views as (
@@ -289,18 +301,13 @@ ORACLE: dict[str, str] = {
         )
         select request_id, pos, id, round(coalesce(pagerank, 0), 6) as value from asked left join ranks using (id)""",
     "judgments": f"with {FACTS}, {QUERY_TERMS}, {JUDGMENTS} select * from judgments",
-    "average_precision": f"""with {METRICS},
-        running as (
-          select query_id, rank, hit, sum(hit) over (partition by query_id order by rank) / rank as precision
-          from judged where rank <= 40
-        ),
-        means as (select query_id, avg(precision) as mean from running where hit = 1 group by query_id)
-        select query_id, coalesce(printf('%.3f', mean)::double, 0) as average_precision
-        from queries left join means using (query_id)""",
+    "average_precision": f"with {METRICS}, {AVERAGE_PRECISION}",
+    "average_precision_edge_queries": f"with {DEEP}, {AVERAGE_PRECISION}",
     "precision_recall_f1": f"with {METRICS} select query_id, p5 as precision, r5 as recall, f5 as f1 from scores",
     "results_quality": f"with {METRICS} select query_id, quality from quality",
-    "eval_per_query": f"""with {METRICS}
-        select query_id, results, case when results > 0 then quality end as quality from quality""",
+    "eval_per_query": f"with {METRICS} {PER_QUERY}",
+    "eval_edge_queries": f"with {DEEP} {PER_QUERY}",
+    "bm25_edge_queries": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found".replace(QUERIES, WITH_EDGES),
     "eval_summary": f"""with {METRICS}
         select count(*) as processed, count(*) filter (results > 0) as successful,
           round(avg(quality) filter (results > 0), 6) as average_quality

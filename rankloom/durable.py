@@ -28,6 +28,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
-    path = scratch_path(df.sparkSession, name)
+    return _written(df, scratch_path(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables that a job needs only while it runs: they are deleted when the block ends, also by an error.
+
+    What the job returns must not read them any more.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        context = self._spark.sparkContext
+        for path in self._paths:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def path(self, name: str) -> str:
+        self._paths.append(scratch_path(self._spark, name))
+        return self._paths[-1]
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """As :func:`materialize`."""
+        return _written(df, self.path(name))

@@ -70,6 +70,15 @@ def f1_at_k(queries: DataFrame, predictions: DataFrame, judgments: DataFrame, k:
     )
 
 
+def precision_recall_f1(queries: DataFrame, predictions: DataFrame, judgments: DataFrame, k: int) -> DataFrame:
+    """``(query_id, precision, recall, f1)``: the three metrics from one pass of counts."""
+    return (
+        _counts(queries, predictions, judgments, k)
+        .select("query_id", _precision(k).alias("precision"), _recall(k).alias("recall"))
+        .withColumn("f1", harmonic_mean(F.col("precision"), F.col("recall")))
+    )
+
+
 def average_precision(queries: DataFrame, predictions: DataFrame, judgments: DataFrame, k: int = AP_CUT) -> DataFrame:
     """Mean over the hits among the first ``k`` of the precision down to each; no hit gives 0.0."""
     so_far = Window.partitionBy("query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)

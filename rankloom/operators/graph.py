@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.durable import materialize, scratch_path
+from rankloom.durable import Scratch, materialize
 from rankloom.operators.skew import hot_keys
 
 # Reset probability and number of rounds.
@@ -63,21 +63,33 @@ def pagerank(
     up by target, with partial sums before that one shuffle. Edges of the few sources that hold
     more than their share of all edges would fill one bucket; they stay spread and look up their
     sums by a broadcast of those sources, whose number is bounded. Each round is written out, so
-    neither the plan nor the loss of an executor grows with the rounds.
+    neither the plan nor the loss of an executor grows with the rounds; only the ranks are left.
     """
     if rounds < 1:
         return vertices(edge_rows).withColumn("pagerank", F.lit(1.0))
+    with Scratch(edge_rows.sparkSession) as scratch:
+        ranks = _ranks(edge_rows, reset, rounds, partitions, min_hot_rows, scratch)
+    if not rescale:
+        return ranks
+    scale = ranks.agg((F.count("*") / F.sum("pagerank")).alias("scale")).scalar()
+    return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))
+
+
+def _ranks(
+    edge_rows: DataFrame, reset: float, rounds: int, partitions: int | None, min_hot_rows: int | None, scratch: Scratch
+) -> DataFrame:
+    """Ranks before rescaling, written out."""
     spark = edge_rows.sparkSession
-    links = materialize(edge_rows.select("src", "dst"), "edges")
-    out_degree = materialize(links.groupBy("src").agg(F.count("*").alias("degree")), "out-degree")
-    hot = materialize(hot_keys(out_degree, "src", "degree", min_hot_rows).select("src"), "hot-sources")
+    links = scratch.table(edge_rows.select("src", "dst"), "edges")
+    out_degree = scratch.table(links.groupBy("src").agg(F.count("*").alias("degree")), "out-degree")
+    hot = scratch.table(hot_keys(out_degree, "src", "degree", min_hot_rows).select("src"), "hot-sources")
     spread = None
     cold, cold_degree = links, out_degree
     if not hot.isEmpty():
         hot_degree = out_degree.join(F.broadcast(hot), "src", "left_semi")
-        spread = materialize(links.join(F.broadcast(hot_degree), "src"), "edges-hot")
+        spread = scratch.table(links.join(F.broadcast(hot_degree), "src"), "edges-hot")
         cold, cold_degree = (rows.join(F.broadcast(hot), "src", "left_anti") for rows in (links, out_degree))
-    by_source = _bucketed_by_source(cold.join(cold_degree, "src"), partitions or _buckets_for(links))
+    by_source = _bucketed_by_source(cold.join(cold_degree, "src"), partitions or _buckets_for(links), scratch)
     cold = spark.table(by_source)
 
     def rank_of(total: Column) -> Column:
@@ -102,19 +114,15 @@ def pagerank(
     try:
         sums = None
         for turn in range(1, rounds + 1):
-            sums = materialize(next_sums(sums), f"rank-{turn}")
+            sums = scratch.table(next_sums(sums), f"rank-{turn}")
 
         nodes = out_degree.select(F.col("src").alias("id"))
         # Every target has a sum, so sources without one complete the vertices.
-        ranks = materialize(
+        return materialize(
             nodes.join(sums, "id", "full").select("id", rank_of(F.col("total")).alias("pagerank")), "ranks"
         )
     finally:
         spark.sql(f"drop table {by_source}")
-    if not rescale:
-        return ranks
-    scale = ranks.agg((F.count("*") / F.sum("pagerank")).alias("scale")).scalar()
-    return ranks.select("id", (F.col("pagerank") * scale).alias("pagerank"))
 
 
 def _buckets_for(links: DataFrame) -> int:
@@ -124,19 +132,18 @@ def _buckets_for(links: DataFrame) -> int:
     return max(1, -(-rows // MOST_LINKS), min(usual, -(-rows // FEWEST_LINKS)))
 
 
-def _bucketed_by_source(links: DataFrame, buckets: int) -> str:
+def _bucketed_by_source(links: DataFrame, buckets: int, scratch: Scratch) -> str:
     """Write links bucketed by source, so that no later round shuffles them; gives the table name.
 
-    Its files are in the checkpoint folder; dropping the table leaves them there.
+    Dropping the table leaves its files, which go with the scratch.
     """
-    spark = links.sparkSession
     table = f"rankloom_edges_{uuid.uuid4().hex}"
     (
         links.repartition(buckets, "src")
         .write.format("parquet")
         .bucketBy(buckets, "src")
         .sortBy("src")
-        .option("path", scratch_path(spark, "edges-by-source"))
+        .option("path", scratch.path("edges-by-source"))
         .saveAsTable(table)
     )
     return table

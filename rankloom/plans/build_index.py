@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom import schemas
-from rankloom.durable import materialize, scratch_path
+from rankloom.durable import Scratch, materialize, scratch_path
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators import index as ix
 from rankloom.operators import terms as tx
-from rankloom.sources.artifacts import load_or_empty, save_postings
+from rankloom.operators.matching import document_norms
+from rankloom.sources.artifacts import load_if_saved, load_or_empty, save_postings
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,8 @@ class Index:
     by document in ``doc_terms``, where all a document's terms are in one task. ``term_stats`` are
     the statistics of the terms above the cut, ``min_df``, and decide in both layouts what a query
     term finds. ``all_stats`` are those of all terms, from which the cut is made anew when documents are added.
+    ``norms`` are the lengths of the documents' TF-IDF vectors for body search; they depend on the statistics
+    of the whole corpus, so a grown index has none until it is saved.
     """
 
     postings: DataFrame
@@ -34,6 +37,7 @@ class Index:
     all_stats: DataFrame | None = None
     min_df: int = 0
     buckets: int = ix.NUM_BUCKETS
+    norms: DataFrame | None = None
 
 
 def build_index(
@@ -51,25 +55,29 @@ def build_index(
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "index")
-    per_doc = _whole_documents(tx.doc_terms(docs, stop_words))
-    per_doc.write.parquet(f"{path}/doc_terms", mode="overwrite")
+    with Scratch(spark) as scratch:
+        whole = _whole_documents(tx.doc_terms(docs, stop_words), scratch)
+        whole.write.parquet(f"{path}/doc_terms", mode="overwrite")
     per_doc = spark.read.schema(schemas.DOC_TERMS).parquet(f"{path}/doc_terms")
     facts = tx.term_facts(per_doc)
 
     ix.with_bucket(ix.term_statistics(facts), buckets).write.parquet(f"{path}/term_stats", mode="overwrite")
     stats = spark.read.schema(schemas.TERM_STATS).parquet(f"{path}/term_stats")
     ix.corpus_statistics(per_doc).write.parquet(f"{path}/corpus_stats", mode="overwrite")
+    corpus = spark.read.schema(schemas.CORPUS_STATS).parquet(f"{path}/corpus_stats")
+    norms = document_norms(facts, ix.frequent_terms(stats, min_df), corpus)
+    norms.write.parquet(f"{path}/norms", mode="overwrite")
     postings = ix.keep_frequent(facts, stats, min_df) if min_df > 0 else facts
     save_postings(postings, f"{path}/postings", buckets)
     _save_settings(spark, path, min_df, buckets)
     return load_index(spark, path)
 
 
-def _whole_documents(per_doc: DataFrame) -> DataFrame:
+def _whole_documents(per_doc: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per document: rows that share an id are added up. Written, as it is read twice."""
-    per_doc = materialize(per_doc, "doc-terms")
+    per_doc = scratch.table(per_doc, "doc-terms")
     repeated = per_doc.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
-    repeated = materialize(repeated, "repeated-ids")
+    repeated = scratch.table(repeated, "repeated-ids")
     if repeated.isEmpty():
         return per_doc
     parts = per_doc.join(repeated, "doc_id", "left_semi").select("doc_id", F.explode_outer("terms").alias("t"))
@@ -98,6 +106,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
         all_stats,
         min_df,
         buckets,
+        load_if_saved(spark, f"{path}/norms", schemas.NORMS),
     )
 
 
@@ -107,6 +116,10 @@ def save_index(index: Index, path: str) -> Index:
     index.doc_terms.write.parquet(f"{path}/doc_terms")
     index.all_stats.select("term", "df", "term_total", "bucket").write.parquet(f"{path}/term_stats")
     index.corpus_stats.write.parquet(f"{path}/corpus_stats")
+    norms = index.norms
+    if norms is None:
+        norms = document_norms(tx.term_facts(index.doc_terms), index.term_stats, index.corpus_stats)
+    norms.write.parquet(f"{path}/norms")
     save_postings(index.postings, f"{path}/postings", index.buckets, mode="errorifexists")
     _save_settings(spark, path, index.min_df, index.buckets)
     return load_index(spark, path)
@@ -123,7 +136,8 @@ def add_documents(index: Index, docs: DataFrame, stop_words: Iterable[str] = STO
     made on the sums. Old postings stay as they are; those of a term that passes the cut only now
     come from the stored documents. New ids are not compared with those of the index.
     """
-    per_doc = materialize(_whole_documents(tx.doc_terms(docs, stop_words)), "added-terms")
+    with Scratch(docs.sparkSession) as scratch:
+        per_doc = materialize(_whole_documents(tx.doc_terms(docs, stop_words), scratch), "added-terms")
     facts = tx.term_facts(per_doc)
     added = ix.with_bucket(ix.term_statistics(facts), index.buckets)
     all_stats = materialize(ix.merge_statistics(index.all_stats, added), "term-stats")

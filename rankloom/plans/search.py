@@ -66,6 +66,8 @@ def body(index: Index, queries: DataFrame, norms: DataFrame | None = None, k: in
     terms = query_terms(queries)
     small, distinct = batch_size(terms)
     facts = facts_for(index, distinct, terms)
+    if norms is None:
+        norms = index.norms
     if norms is None:
         by_doc = index.postings if index.doc_terms is None else term_facts(index.doc_terms)
         norms = document_norms(by_doc, index.term_stats, index.corpus_stats)

@@ -41,6 +41,8 @@ DOC_TERMS = _table(
 
 DOC_LENGTHS = _table(("doc_id", ID), ("dl", T.LongType()))
 
+NORMS = _table(("doc_id", ID), ("norm", T.DoubleType()))
+
 CORPUS_STATS = _table(("n", T.LongType()), ("avgdl", T.DoubleType()))
 
 SETTINGS = _table(("min_df", T.LongType()), ("buckets", T.IntegerType()))

@@ -53,11 +53,17 @@ def save_postings(postings: DataFrame, path: str, buckets: int = NUM_BUCKETS, mo
     rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").parquet(path, mode=mode)
 
 
-def load_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A saved Parquet table, or an empty one when the path does not exist."""
+def load_if_saved(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A saved Parquet table, or None when the path does not exist."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def load_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A saved Parquet table, or an empty one when the path does not exist."""
+    found = load_if_saved(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found

@@ -55,6 +55,18 @@ def test_pagerank_with_some_hot_sources(spark, monkeypatch):
     assert ranks_of(gr.pagerank(frame(spark, list(edges)))) == pytest.approx(wanted, abs=1e-9)
 
 
+def test_only_the_ranks_are_left_in_the_scratch_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("rankloom.durable.scratch_root", lambda _: str(tmp_path))
+    ranks = gr.pagerank(frame(spark, EDGES), min_hot_rows=0)
+    left = [p.name for app in tmp_path.iterdir() for p in app.iterdir()]
+    assert len(left) == 1 and left[0].startswith("ranks-")
+    assert ranks_of(ranks) == pytest.approx(RANKS, abs=1e-9)
+    monkeypatch.setattr(gr, "_buckets_for", lambda links: 1 // 0)
+    with pytest.raises(ZeroDivisionError):
+        gr.pagerank(frame(spark, EDGES))
+    assert [p.name for app in tmp_path.iterdir() for p in app.iterdir()] == left
+
+
 def test_rounds_and_rescaling(spark):
     raw = gr.pagerank(frame(spark, EDGES), rounds=2, rescale=False)
     assert ranks_of(raw) == pytest.approx(model_pagerank(EDGES, 2, rescale=False))

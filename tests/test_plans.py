@@ -13,7 +13,7 @@ from rankloom.operators import matching as mt
 from rankloom.operators import ranking as rk
 from rankloom.operators import terms as tx
 from rankloom.operators.skew import _measures, hot_keys
-from rankloom.plans.search import bm25
+from rankloom.plans.search import bm25, body
 
 
 def plan(df) -> str:
@@ -91,3 +91,9 @@ def test_graph_inputs_have_no_pairing_joins(spark, sf_dir, name):
     pages = fx.supplier_pages(spark, sf_dir)
     df = {"edges": gr.edges(pages), "vertices": gr.vertices(gr.edges(pages)), "link_rows": gr.link_rows(pages)}[name]
     assert "Cartesian" not in plan(df) and "NestedLoop" not in plan(df)
+
+
+def test_body_search_reads_stored_norms(spark, sf_dir):
+    few = spark.createDataFrame([(1, "eau inin tion")], "query_id long, query string")
+    text = plan(body(fx.index(spark, sf_dir), few))
+    assert "/norms" in text and "/doc_terms" not in text
