@@ -213,10 +213,11 @@ def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame) -> Da
 
     Only classes in posting lists of several components are open still. Their sets are filtered
     exactly: with shingles from rare to common, two similar sets share one among the first of both, and early enough
-    that what follows can make up the rest of the overlap.
+    that what follows can make up the rest of the overlap. Of the pairs that share one, those with enough
+    collisions remain, as in the turns.
     """
     lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = materialize(labelled.join(lists, "token").select("node", "label").distinct(), "open")
+    open_ = materialize(labelled.join(lists, "token").select("node", "label", *_LANES).distinct(), "open")
     rows = _sets(open_, docs, classes).select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     shared = rows.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1")
     by_class = (
@@ -245,7 +246,8 @@ def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame) -> Da
         & (F.col("p.label") != F.col("q.label"))
         & ((size_p < size_q) | ((size_p == size_q) & (F.col("p.node") < F.col("q.node"))))
         & (size_p * 100 >= size_q * SIMILAR)
-        & (overlap * (100 + SIMILAR) >= (size_p + size_q) * SIMILAR),
+        & (overlap * (100 + SIMILAR) >= (size_p + size_q) * SIMILAR)
+        & (_matches("p", "q") >= MATCHES),
     )
     return found.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
 
