@@ -44,7 +44,7 @@ MATCHES = 30
 PREFIX = COORDINATES - MATCHES + 1
 
 #: Turns of comparing with the heads of lists, and heads that a class is confirmed with in a turn.
-TURNS = 2
+TURNS = 3
 HEADS = 3
 
 #: Bytes of text hashed together.
