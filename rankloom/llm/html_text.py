@@ -2,8 +2,11 @@
 
 Every node of the page has characters, tags, and both again inside links. Its density is characters per tag,
 adjusted by links: much text in links, or many links, bring it down. A node's density sum is that of its
-children. The densest node's path up to the body gives a threshold, its lowest density; nodes
-that reach it are searched for the subtree with the largest density sum, whose text is the result.
+children and of its own runs of text. The path from the node with the largest sum up to the body gives a
+threshold, its lowest density; every node whose density or density sum reaches it gives the subtree with the
+largest density sum in it, with the headings right before that. Nested ones are one. (The sum counts too, as
+densities grow with the number of tags: without links, the smaller of two like blocks lies below their parent.) Where the largest sum lies in an article
+or main element, the text is that of the article and main elements with such subtrees, in whole.
 
 What is never article (scripts, forms, menus, headers and footers of the page, sidebars, notices,
 adverts, reader comments) is left out before densities are computed, by tag, role and name.
@@ -31,6 +34,9 @@ DROPPED = frozenset(
     """head script style noscript template nav aside form button select textarea input iframe object embed svg canvas
     audio video map dialog menu search fieldset math""".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that are the article.
+WHOLE = frozenset("article main".split())
 #: Those that are not when they stand outside the article.
 FRAME = frozenset("header footer".split())
 ROLES = frozenset(
@@ -57,11 +63,18 @@ CLOSES = {
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = (
+        "tag", "parent", "children", "dropped", "linked", "whole", "rich",
+        "chars", "tags", "link_chars", "link_tags", "density", "sum",
+    )
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool):
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.children: list[Node | str] = []
+        self.linked = tag == "a" or parent is not None and parent.linked
+        #: The article or main element it is in, or is.
+        self.whole: Node | None = self if tag in WHOLE else parent.whole if parent else None
+        self.rich = self
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
@@ -133,14 +146,21 @@ class Tree(HTMLParser):
         return False
 
 
+def _text(node: Node) -> int:
+    """Characters of a node's own runs of text."""
+    return sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+
+
 def _measure(tree: Tree) -> Node:
-    """Fill in characters, tags, densities and sums; returns the body."""
+    """Fill in characters, tags, densities, sums and richest subtrees; returns the body."""
+    body = next((n for n in tree.nodes if n.tag == "body"), tree.root)
     for node in tree.nodes:
-        node.chars = 0 if node.dropped else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        node.chars = 0 if node.dropped else _text(node)
         if node.tag == "a" and not node.dropped:
             node.link_tags = 1
+    own = {node: node.chars for node in tree.nodes}
     for node in reversed(tree.nodes):
-        if node.tag == "a":
+        if node.linked:
             node.link_chars = node.chars
         if node.parent is not None and not node.dropped:
             up = node.parent
@@ -148,19 +168,27 @@ def _measure(tree: Tree) -> Node:
             up.tags += node.tags + 1
             up.link_chars += node.link_chars
             up.link_tags += node.link_tags
-    body = next((n for n in tree.nodes if n.tag == "body"), tree.root)
     overall = body.link_chars / body.chars if body.chars else 0.0
+
+    def density(chars: int, tags: int, link_chars: int, link_tags: int) -> float:
+        tags, links, link_tags = max(tags, 1), max(link_chars, 1), max(link_tags, 1)
+        free = max(chars - link_chars, 1)
+        base = math.log(chars / free * link_chars + overall * chars + math.e)
+        return chars / tags * max(math.log(chars / links * tags / link_tags), 0.0) / base
+
     for node in tree.nodes:
-        if node.dropped or not node.chars:
-            continue
-        chars, tags = node.chars, max(node.tags, 1)
-        links, link_tags = max(node.link_chars, 1), max(node.link_tags, 1)
-        free = max(chars - node.link_chars, 1)
-        base = math.log(chars / free * node.link_chars + overall * chars + math.e)
-        node.density = chars / tags * max(math.log(chars / links * tags / link_tags), 0.0) / base
-    for node in tree.nodes:
-        if node.parent is not None and not node.dropped:
+        if node.dropped or not node.chars or node.linked:
+            continue  # all of a link's text is in links
+        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags)
+        # Its own text counts like that of a child without tags.
+        node.sum += density(own[node], 0, 0, 0) if own[node] else 0.0
+        if node.parent is not None:
             node.parent.sum += node.density
+    for node in reversed(tree.nodes):
+        for child in node.children:
+            # The largest sum in the subtree, the first of equals.
+            if isinstance(child, Node) and not child.dropped and child.rich.sum > node.rich.sum:
+                node.rich = child.rich
     return body
 
 
@@ -172,36 +200,63 @@ def _inside(top: Node) -> Iterator[Node]:
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped)
 
 
-def _richest(top: Node) -> Node:
-    """The node with the largest density sum in a subtree, the first of equals."""
-    return max(_inside(top), key=lambda node: node.sum)
-
-
 def _selected(body: Node) -> list[Node]:
-    """Subtrees of the main text in page order."""
-    best = _richest(body)
+    """Subtrees of the main text in page order, none in another."""
+    best = body.rich
     threshold, node = best.density, best
     while node is not body and node.parent is not None:
         node = node.parent
         threshold = min(threshold, node.density)
-    found, stack = [], [body]
-    while stack:
-        node = stack.pop()
-        if node.density >= threshold and node.chars:
-            rich = _richest(node)
-            found.append(rich if rich.sum > 0 else node)
-        else:
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node) and not c.dropped)
-    # The subtree may be a part of an article element, which is then the whole.
-    whole = []
+    # Parents come before children, so a node knows whether it is in a subtree that was found.
+    found: set[Node] = set()
+    covered: set[Node] = set()
+    for node in _inside(body):
+        if node in found or node.parent in covered:
+            covered.add(node)
+        elif node.chars and max(node.density, node.sum) >= threshold:
+            found.add(node.rich)
+            if node.rich is node:
+                covered.add(node)
+    if best.whole is not None:
+        found = {node.whole for node in found if node.whole is not None}
+    else:
+        found = {node.whole or node for node in found}
+        found |= _headings(body, found)
+    tops: list[Node] = []
+    covered.clear()
+    for node in _inside(body):
+        if node.parent in covered:
+            covered.add(node)
+        elif node in found:
+            covered.add(node)
+            tops.append(node)
+    return tops
+
+
+def _headings(body: Node, found: set[Node]) -> set[Node]:
+    """Headings that stand right before a node with a subtree that was found."""
+    holding: set[Node] = set()
     for node in found:
-        up = node
-        while up.parent is not None and up.tag not in ("article", "main"):
+        up: Node | None = node
+        while up is not None and up not in holding:
+            holding.add(up)
             up = up.parent
-        node = up if up.tag in ("article", "main") else node
-        if node not in whole:
-            whole.append(node)
-    return whole
+    headings: set[Node] = set()
+    for node in _inside(body):
+        if node not in holding:
+            continue
+        before: list[Node] = []
+        for item in node.children:
+            if isinstance(item, str):
+                before = [] if item.strip() else before
+            elif item in holding:
+                headings.update(before)
+                before = [item] if item.tag in HEADINGS else []
+            elif item.tag in HEADINGS and not item.dropped:
+                before.append(item)
+            elif item.chars and not item.dropped:
+                before = []
+    return headings
 
 
 def _blocks(top: Node) -> Iterator[str]:

@@ -253,6 +253,25 @@ def test_main_text_leaves_out_what_is_no_article():
     assert html_text.main_text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_main_text_of_sibling_blocks_without_article():
+    def block(letter, paragraphs, chars):
+        lines = [" ".join([letter * 9] * (chars // 10)) for _ in range(paragraphs)]
+        return "".join(f"<p>{line}</p>" for line in lines), lines
+
+    (a, a_lines), (b, b_lines) = block("a", 10, 200), block("b", 9, 260)
+    links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(30))
+    both = ["Title", *a_lines, *b_lines]
+    for tag, menu in (("div", ""), ("div", f"<ul>{links}</ul>"), ("section", f"<ul>{links}</ul>")):
+        page = f"<body>{menu}<div><h1>Title</h1><{tag}>{a}</{tag}><{tag}>{b}</{tag}></div></body>"
+        assert html_text.main_text(page).split("\n") == both
+    # Runs of text beside a dense child, and links around blocks, which are no text.
+    page = f"<body><div>{'t ' * 300}<b><i>bold</i></b></div><a href=x><div>{a}</div></a></body>"
+    assert html_text.main_text(page) == ("t " * 300 + "bold").strip()
+    # Several articles are several subtrees; what is beside them is no article.
+    page = f"<body><article>{a}</article><div>{'beside ' * 40}</div><article>{b}</article></body>"
+    assert html_text.main_text(page).split("\n") == a_lines + b_lines
+
+
 def test_language_is_found_on_held_out_rows(spark, sf_dir, edge_rows):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = language_id.held_out_languages(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out").collect()
