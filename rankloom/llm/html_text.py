@@ -9,7 +9,8 @@ densities grow with the number of tags: without links, the smaller of two like b
 or main element, the text is that of the article and main elements with such subtrees, in whole.
 
 What is never article (scripts, forms, menus, headers and footers of the page, sidebars, notices,
-adverts, reader comments) is left out before densities are computed, by tag, role and name.
+adverts, reader comments) is left out before densities are computed, by tag, role and name. Forms and
+names leave out nothing that wraps the article or most of the text.
 """
 
 from __future__ import annotations
@@ -31,18 +32,20 @@ BLOCKS = frozenset(
 )
 #: Elements that are no text of the article.
 DROPPED = frozenset(
-    """head script style noscript template nav aside form button select textarea input iframe object embed svg canvas
-    audio video map dialog menu search fieldset math""".split()
+    """head script style noscript template nav aside button select textarea input iframe object embed svg canvas
+    audio video map dialog menu search annotation annotation-xml""".split()
 )
+#: Those that may wrap it.
+FORMS = frozenset("form fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that are the article.
 WHOLE = frozenset("article main".split())
 #: Those that are not when they stand outside the article.
 FRAME = frozenset("header footer".split())
 ROLES = frozenset(
-    "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar".split()
+    "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split()
 )
-#: Words of class and id names of what is no article.
+#: Class and id names of what is no article: one of these, or a compound of these and words of PARTS and LISTS.
 NAMES = frozenset(
     """ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted
     nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar aside rail widget widgets toc toolbar
@@ -50,6 +53,18 @@ NAMES = frozenset(
     gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share
     sharing social related recommended recommendations""".split()
 )
+PARTS = frozenset(
+    """area bar block box button container form fixed global inner list main mobile outer primary secondary section site
+    slot sticky top bottom unit wrap wrapper""".split()
+)
+LISTS = frozenset("articles buttons icons links posts stories".split())
+#: Names that an article has for parts of its own; inside it they leave out nothing.
+TOPICS = frozenset(
+    """advertising banner comment consent cookies discussion navigation notice notices notification alert overlay promotion
+    recommendations recommended related replies reply respond sharing social sponsor subscription""".split()
+)
+#: Names of reader comments, which may be longer than the article.
+READERS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
 #: Elements that an opening tag of the same kind closes, up to the container they belong to.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -64,12 +79,12 @@ CLOSES = {
 
 class Node:
     __slots__ = (
-        "tag", "parent", "children", "dropped", "linked", "whole", "rich",
+        "tag", "parent", "children", "dropped", "boxed", "readers", "linked", "whole", "rich",
         "chars", "tags", "link_chars", "link_tags", "density", "sum",
     )
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, boxed: bool = False, readers: bool = False):
+        self.tag, self.parent, self.dropped, self.boxed, self.readers = tag, parent, dropped, boxed, readers
         self.children: list[Node | str] = []
         self.linked = tag == "a" or parent is not None and parent.linked
         #: The article or main element it is in, or is.
@@ -108,14 +123,18 @@ class Tree(HTMLParser):
             del self.open[1:]
         if tag in CLOSES:
             self._close(*CLOSES[tag])
-        node = Node(tag, self.open[-1], self.open[-1].dropped or self._no_article(tag, attrs))
+        names = self._names(tag, attrs)
+        node = Node(
+            tag, self.open[-1], self.open[-1].dropped or self._no_article(tag, attrs),
+            bool(names) or tag in FORMS or ("role", "form") in attrs, not READERS.isdisjoint(names),
+        )
         self.open[-1].children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        # A slash closes nothing in HTML but in foreign elements, which are dropped.
+        # A slash closes nothing in HTML but in foreign elements.
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self._within({"svg", "math"}):
             self.handle_endtag(tag)
@@ -140,20 +159,77 @@ class Tree(HTMLParser):
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
-            if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-                if not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                    return True
         return False
 
+    def _names(self, tag: str, attrs: list[tuple[str, str | None]]) -> set[str]:
+        """Words of the class and id names that say that an element is no article."""
+        found: set[str] = set()
+        if tag in HEADINGS or tag in WHOLE or tag in ("html", "body"):
+            return found
+        inside = self.open[-1].whole is not None
+        for key, value in attrs:
+            for name in (value or "").lower().split() if key in ("class", "id") else ():
+                words = {word for word in re.split(r"[^a-z0-9]+", name) if word}
+                if not words <= NAMES | PARTS | LISTS:
+                    continue
+                said = words & NAMES
+                if said and not (inside and said <= TOPICS and words.isdisjoint(LISTS)):
+                    found |= said
+        return found
+
 
 def _text(node: Node) -> int:
     """Characters of a node's own runs of text."""
     return sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
 
 
+def _leave_out(tree: Tree, body: Node) -> None:
+    """Drop the forms and what names say is no article, but not what wraps the article or most of the text.
+
+    While an article stands elsewhere, all of them go. Otherwise one stays that has an article in it, or more
+    than half of the body's characters; reader comments stay only in the second case, and not beside an
+    article or a first heading.
+    """
+    chars = {node: 0 if node.dropped else _text(node) for node in tree.nodes}
+    wholes = dict.fromkeys(tree.nodes, 0)
+    heads = dict.fromkeys(tree.nodes, 0)
+    for node in reversed(tree.nodes):
+        wholes[node] += node.tag in WHOLE and chars[node] > 0
+        heads[node] += node.tag == "h1" and chars[node] > 0
+        if node.parent is not None:
+            for counts in (chars, wholes, heads):
+                counts[node.parent] += counts[node]
+    # Articles by the innermost form or named element that they are in, and how many are around each node.
+    box: dict[Node, Node | None] = {}
+    around: dict[Node, int] = {}
+    owned: dict[Node | None, int] = {}
+    for node in tree.nodes:
+        up = node.parent
+        box[node] = None if up is None else up if up.boxed else box[up]
+        around[node] = 0 if up is None else around[up] + (up.tag in WHOLE and chars[up] > 0)
+        if node.tag in WHOLE and chars[node] > 0:
+            owned[box[node]] = owned.get(box[node], 0) + 1
+    free = owned.get(None, 0)
+    for node in tree.nodes:
+        if node.parent is not None and node.parent.dropped:
+            node.dropped = True
+        if not node.boxed or node.dropped:
+            continue
+        most = 2 * chars[node] > chars[body]
+        if free > around[node]:
+            node.dropped = True
+        elif node.readers:
+            node.dropped = not most or around[node] > 0 or heads[body] > heads[node]
+        else:
+            node.dropped = not most and not wholes[node]
+        if not node.dropped:
+            free += owned.get(node, 0)
+
+
 def _measure(tree: Tree) -> Node:
     """Fill in characters, tags, densities, sums and richest subtrees; returns the body."""
     body = next((n for n in tree.nodes if n.tag == "body"), tree.root)
+    _leave_out(tree, body)
     for node in tree.nodes:
         node.chars = 0 if node.dropped else _text(node)
         if node.tag == "a" and not node.dropped:

@@ -272,6 +272,30 @@ def test_main_text_of_sibling_blocks_without_article():
     assert html_text.main_text(page).split("\n") == a_lines + b_lines
 
 
+def test_names_and_forms_leave_out_no_article():
+    body = "".join(f"<p>{'word ' * 40}number {i}.</p>" for i in range(6))
+    lines = [f"{'word ' * 40}number {i}." for i in range(6)]
+    side = "<div class='sidebar'><p>Side words that are not so few.</p></div>"
+    for inner in (body + side, f"<article>{body}</article>{side}"):
+        for wrap in (
+            "<div id=content class='site-content right-sidebar'>%s</div>", "<div class='page no-sidebar'>%s</div>",
+            "<form action=/page><input name=state>%s</form>", "<div class=overlay><form><fieldset>%s</fieldset></form></div>",
+        ):
+            assert html_text.main_text(f"<body>{wrap % inner}</body>").split("\n") == lines, wrap
+    extra = (
+        "<section id=discussion><p>We discuss it.</p></section><h2 id=related-work>Related work</h2><h2 id=how-to-share>How to"
+        " share</h2><p class=notice>Take note.</p><p>As <math><mi>a</mi><mo>=</mo><mn>1</mn></math>.</p>"
+    )
+    out = "<div class='share-buttons'>Send</div><div class=related-posts>More</div><form>Your mail</form>"
+    comments = f"<div class=comments><article class=comment>{body * 3}</article></div>"
+    page = f"<body><article>{body}{extra}{out}</article>{comments}<div class='ad-box'>Buy this.</div></body>"
+    assert html_text.main_text(page).split("\n") == [
+        *lines, "We discuss it.", "Related work", "How to share", "Take note.", "As a=1."
+    ]
+    page = f"<body><div><h1>Post</h1>{body}</div><div id=comments>{body * 3}</div></body>"
+    assert html_text.main_text(page).split("\n") == ["Post", *lines]
+
+
 def test_language_is_found_on_held_out_rows(spark, sf_dir, edge_rows):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = language_id.held_out_languages(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out").collect()
