@@ -15,6 +15,7 @@ import datetime
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -41,7 +42,7 @@ _PATTERN = re.compile(
   | \b(?P<iban>[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)\b
   | (?<![\w.+\-])(?P<date>\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4}|\d{2}-\d{2}-\d{4})(?![\w\-])
   | (?<![\w.+\-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w\-])
-  | (?<![\w.+\-])(?P<card>\d(?:[ \-]?\d){12,18})(?![\w\-]|\.\d)
+  | (?<![\w.+\-])(?P<card>\d(?:[ \-]?\d){12,18})(?!\w|-(?!\d)|\.\d)
   | (?P<phone>(?<![\w+])\+\d{1,3}(?:[ .\-]?\(?\d{1,4}\)?){2,5}(?![\w]) | (?<![\w.+\-])(?:\(\d{3}\)[ ]?|\d{3}[\-.])\d{3}[\-.]\d{4}(?![\w\-]))
     """,
     re.VERBOSE,
@@ -204,8 +205,6 @@ def _readable(start: int, size: int, order: str) -> list[int]:
 
 
 def _place(days: list[int], day: int) -> int:
-    from bisect import bisect_left
-
     return bisect_left(days, day)
 
 
@@ -239,27 +238,133 @@ _KINDS = {"email": _email, "secret": _secret, "ip": _ip, "iban": _iban, "date":
 KINDS = tuple(_KINDS)
 
 
-def pseudonymized(text: str, permute: Permute, found: Counter | None = None) -> str:
-    """The text with every valid value replaced; ``found`` counts the kinds."""
+#: Digits of the parts of a card as cards are written, and as one part.
+CARDS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), *((n,) for n in range(13, 20))}
+#: Characters of an IBAN by country.
+IBANS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+_RUN = re.compile(r"\d+(?:[ \-]\d+)*")
+_TOKEN = re.compile(r"\W*\w+")
+_ENDED = re.compile(r"(?!\w|-(?!\d)|\.\d)")
+#: A span is no longer than this.
+_REACH = 80
+
+Span = tuple[str, int, int]
+
+
+def _cards(text: str, start: int, end: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Where a card can stand in what looks like one, with short numbers before or behind it: first as
+    cards are written, then from the start on, longer ones first."""
+    run = _RUN.match(text, start, min(end + _REACH, stop)).group()
+    parts = [(start + m.start(), start + m.end()) for m in re.finditer(r"\d+", run)]
+    for i, (first, _) in enumerate(parts):
+        if first >= end:
+            break
+        for n in (1, 3, 4):
+            behind = parts[i : i + n]
+            if len(behind) == n and tuple(b - a for a, b in behind) in CARDS and _ENDED.match(text, behind[-1][1]):
+                yield first, behind[-1][1]
+    for last in sorted({last for _, last in parts if last <= end} | {end}, reverse=True):
+        if sum(map(str.isdigit, text[start:last])) >= 13:
+            yield start, last
+
+
+def _ibans(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Ends of an IBAN in what looks like one: by its country, then longer ones first."""
+    ends = [m.end() for m in re.finditer(r"\w+", text[start:end])]
+    wanted = IBANS.get(text[start : start + 2])
+    for last in sorted(ends, key=lambda n: (len(text[start : start + n].replace(" ", "")) != wanted, -n)):
+        yield start, start + last
+
+
+_CHECKED: dict[str, Callable[[str], bool]] = {
+    "card": lambda value: _card(value, _same) is not None,
+    "iban": lambda value: _iban(value, _same) is not None,
+}
+
+
+def _same(value: int, size: int, tweak: bytes) -> int:
+    return value
+
+
+def _spans(text: str) -> tuple[list[Span], list[Span]]:
+    """Valid values in order, and what was tried as a card or an IBAN and is none."""
+    found: list[Span] = []
+    failed: dict[Span, None] = {}
+
+    def scan(at: int, stop: int) -> None:
+        while match := _PATTERN.search(text, at, stop):
+            kind = match.lastgroup
+            start, end = match.span(kind)
+            token = _TOKEN.match(text, start).end()
+            if kind not in _CHECKED:
+                if _KINDS[kind](match.group(kind), _same) is not None:
+                    found.append((kind, start, end))
+                    at = end
+                else:
+                    at = token if kind == "phone" else end  # a card can stand behind a plus
+                continue
+            for first, last in _cards(text, start, end, stop) if kind == "card" else _ibans(text, start, end):
+                if _CHECKED[kind](text[first:last]):
+                    if first > start:
+                        scan(token, first)
+                    found.append((kind, first, last))
+                    at = last
+                    break
+                failed[kind, first, last] = None
+            else:
+                at = token
+
+    scan(0, len(text))
+    return found, sorted(failed, key=lambda span: span[1:])
 
-    def replace(match: re.Match) -> str:
-        kind = match.lastgroup
-        value = match.group(kind)
-        coded = _KINDS[kind](value, permute)
-        if coded is None:
-            return match.group()
-        if found is not None:
-            found[kind] += 1
-        return (match.group("lead") or "") + coded
 
-    return _PATTERN.sub(replace, text) if _HINT.search(text) else text
+def pseudonymized(text: str, permute: Permute, found: Counter | None = None) -> str:
+    """The text with every valid value replaced; ``found`` counts the kinds."""
+    if not _HINT.search(text):
+        return text
+    spans, failed = _spans(text)
+    if found is not None:
+        found.update(kind for kind, _, _ in spans)
+    starts = [start for _, start, _ in failed]
+    now, coded = list(text), [""] * len(spans)
+    # What was no value must be none in the new text either, or the way back would take it for one: a
+    # value is permuted again until that holds. The way back takes the values in the opposite order.
+    order = range(len(spans))
+    for i in reversed(order) if getattr(permute, "inverse", False) else order:
+        kind, start, end = spans[i]
+        near = [f for f in failed[bisect_left(starts, start - _REACH) : bisect_left(starts, end)] if f[2] > start]
+        value = text[start:end]
+        while True:
+            again = _KINDS[kind](value, permute)
+            value = value if again is None else again
+            if again is None or len(value) != end - start:
+                break
+            now[start:end] = value
+            if not any(_CHECKED[other]("".join(now[a:b])) for other, a, b in near):
+                break
+        coded[i] = value
+    out, at = [], 0
+    for (_, start, end), value in zip(spans, coded):
+        out += [text[at:start], value]
+        at = end
+    return "".join([*out, text[at:]])
 
 
 def pseudonymize(docs: DataFrame, key: bytes = EXAMPLE_KEY, inverse: bool = False) -> DataFrame:
     """``docs (doc_id, text, ...)`` with personal data in ``text`` replaced; all columns and rows stay.
 
     A null text stays null and an empty one empty; what fails validation (a card number with a wrong
-    check digit, a date that is none) stays as it is. Repeated rows get equal results. ``inverse``
+    check digit, a date that is none) stays as it is; valid cards and IBANs are found beside short numbers
+    and words that could be parts of them. Repeated rows get equal results. ``inverse``
     goes back with the same key.
     """
     return _replaced(docs, key, inverse, False)
