@@ -9,8 +9,8 @@ of the landmarks' n-grams times the landmarks, times the weights.
 Symbols are 6 bits: a to z, other letters by their code point modulo 36, and everything else as
 one gap; so an n-gram is an index into a table of presence bits, and a text of any length is read whole.
 
-The classifier is fitted on a bounded sample of labelled rows, chosen by a hash of the id evenly over the
-languages; the features of the sample, not its texts, come to the driver.
+The classifier knows all languages of the labelled rows. It is fitted on a sample with a bounded number of
+rows per language, chosen by a hash of the id; the features of the sample, not its texts, come to the driver.
 """
 
 from __future__ import annotations
@@ -25,13 +25,12 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 
-#: Labelled rows to learn from, over all languages; at least MIN_ROWS for each of the first
-#: LANGUAGES by number of rows.
+#: Labelled rows to learn from: an equal share of SAMPLE_ROWS for each language, MIN_ROWS at least.
 SAMPLE_ROWS = 1200
 MIN_ROWS = 20
-LANGUAGES = 40
-#: Landmark texts, and the strength of the ridge.
+#: Landmark texts, likewise, and the strength of the ridge.
 LANDMARKS = 96
+MIN_LANDMARKS = 4
 RIDGE = 0.05
 #: Steepness of the score of the regression outputs.
 SHARPNESS = 6.0
@@ -103,9 +102,19 @@ def presence_rows(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(rows, "lang string, grams binary").where("grams is not null")
 
 
+def shared(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """Numbers of n-grams that rows have in common with landmarks (columns)."""
+    found = np.zeros((len(rows), landmarks.shape[1]), dtype=np.float32)
+    step = max(SLICE * 8 // max(landmarks.shape[1], 1), 1)
+    for at in range(0, len(landmarks), step):
+        found += rows[:, at : at + step] @ landmarks[at : at + step].astype(np.float32)
+    return found
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Languages, the landmarks' n-grams, and the matrices of the two products."""
+    """Languages, the landmarks' n-grams, and the matrices of the two products: presence of the n-grams in the
+    landmarks, in bytes as there are the more landmarks the more languages, and weights."""
 
     languages: tuple[str, ...]
     grams: np.ndarray
@@ -114,24 +123,19 @@ class LanguageModel:
 
     def score(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Regression outputs for rows of presence of ``grams``, with all n-grams counted in ``sizes``."""
-        kernel = (rows @ self.landmarks) / np.sqrt(np.maximum(sizes, 1))[:, None]
+        kernel = shared(rows, self.landmarks) / np.sqrt(np.maximum(sizes, 1))[:, None]
         return np.concatenate((kernel, np.ones((len(kernel), 1), dtype=np.float32)), axis=1) @ self.weights
 
 
 def sample(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
     """A bounded sample of the labelled rows, the same number of each language, by hash of the id."""
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    languages = [
-        row.lang for row in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    ]
-    each = max(MIN_ROWS, rows // max(len(languages), 1))
+    each = max(MIN_ROWS, rows // max(labelled.select("lang").distinct().count(), 1))
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     # Only ids are ranked; the filter on the rank is applied in every task first.
-    ranked = labelled.where(F.col("lang").isin(languages)).select(
-        "lang", "doc_id", F.xxhash64(F.col("doc_id"), F.lit(7)).alias("draw")
-    )
+    ranked = labelled.select("lang", "doc_id", F.xxhash64(F.col("doc_id"), F.lit(7)).alias("draw"))
     drawn = ranked.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("doc_id").distinct()
-    return labelled.join(F.broadcast(drawn), "doc_id", "left_semi")  # each * LANGUAGES ids at most
+    return labelled.join(F.broadcast(drawn), "doc_id", "left_semi")  # each ids per language at most
 
 
 def fit(docs: DataFrame, learn: Column | None = None) -> LanguageModel | None:
@@ -142,17 +146,18 @@ def fit(docs: DataFrame, learn: Column | None = None) -> LanguageModel | None:
         return None
     languages = tuple(sorted({lang for lang, _ in rows}))
     grams = [np.frombuffer(data, dtype=np.int32) for _, data in rows]
-    labels = np.array([languages.index(lang) for lang, _ in rows])
+    place = {lang: k for k, lang in enumerate(languages)}
+    labels = np.array([place[lang] for lang, _ in rows])
     # Landmarks: the same number of each language, spread over its rows.
     marks = []
     for k in range(len(languages)):
         own = np.flatnonzero(labels == k)
-        wanted = min(len(own), max(LANDMARKS // len(languages), 4))
+        wanted = min(len(own), max(LANDMARKS // len(languages), MIN_LANDMARKS))
         marks += list(own[np.linspace(0, len(own) - 1, wanted).astype(int)])
     used = np.unique(np.concatenate([grams[i] for i in marks]))
 
-    def matrix(picked: list[int]) -> np.ndarray:
-        dense = np.zeros((len(picked), len(used)), dtype=np.float32)
+    def matrix(picked: list[int], kind: type = np.float32) -> np.ndarray:
+        dense = np.zeros((len(picked), len(used)), dtype=kind)
         for row, i in enumerate(picked):
             at = np.searchsorted(used, grams[i])
             at[at == len(used)] = 0
@@ -160,25 +165,26 @@ def fit(docs: DataFrame, learn: Column | None = None) -> LanguageModel | None:
         return dense
 
     sizes = np.array([len(g) for g in grams], dtype=np.float64)
-    landmarks = matrix(marks)
+    landmarks = np.ascontiguousarray(matrix(marks, np.uint8).T)
     scale = 1 / np.sqrt(sizes[marks])
-    among = (landmarks @ landmarks.T) * np.outer(scale, scale)
+
+    def kernels(picked: list[int]) -> np.ndarray:
+        return np.concatenate(
+            [shared(matrix(picked[at : at + ROWS]), landmarks) for at in range(0, len(picked), ROWS)]
+        )
+
+    among = kernels(marks) * np.outer(scale, scale)
     values, vectors = np.linalg.eigh(among)
     held = values > 1e-6 * values[-1]
     # Nyström map: kernel with the landmarks times the inverse root of the kernel among them.
     root = vectors[:, held] / np.sqrt(values[held])
-    kernel = np.concatenate(
-        [matrix(list(range(at, min(at + ROWS, len(grams))))) @ landmarks.T for at in range(0, len(grams), ROWS)]
-    )
-    mapped = (kernel / np.sqrt(sizes)[:, None] * scale) @ root
+    mapped = (kernels(list(range(len(grams)))) / np.sqrt(sizes)[:, None] * scale) @ root
     mapped = np.concatenate((mapped, np.ones((len(mapped), 1))), axis=1)
     targets = np.where(labels[:, None] == np.arange(len(languages)), 1.0, -1.0)
     ridge = RIDGE * np.eye(mapped.shape[1])
     beta = np.linalg.solve(mapped.T @ mapped + ridge, mapped.T @ targets)
-    weights = np.concatenate((root @ beta[:-1], beta[-1:]))
-    return LanguageModel(
-        languages, used, np.ascontiguousarray((landmarks * scale[:, None]).T.astype(np.float32)), weights.astype(np.float32)
-    )
+    weights = np.concatenate((scale[:, None] * (root @ beta[:-1]), beta[-1:]))
+    return LanguageModel(languages, used, landmarks, weights.astype(np.float32))
 
 
 def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:

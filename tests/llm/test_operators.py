@@ -327,6 +327,18 @@ def test_language_is_found_on_held_out_rows(spark, sf_dir, edge_rows):
     assert language_id.held_out_languages(edge_rows).count() == 8
 
 
+def test_all_languages_are_learnt(spark):
+    random.seed(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k}": ["".join(random.sample(letters, 4)) for _ in range(12)] for k in range(60)}
+    rows = [(i, " ".join(random.choices(words[f"l{i % 60}"], k=40)), f"l{i % 60}") for i in range(60 * 16)]
+    rows += [(i, rows[0][1], "l0") for i in range(2000, 2100)]
+    found = language_id.held_out_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    lang = {i: name for i, _, name in rows}
+    assert {r.lang_pred for r in found} == set(words)
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in found if r.held_out]) >= 0.95
+
+
 def test_pipeline_keeps_columns_until_the_mixture(spark, sf_dir):
     import corpus_pipeline
 
