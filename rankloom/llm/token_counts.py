@@ -193,20 +193,28 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
 
 def prefix_tables(docs: DataFrame, model: str | None = None) -> DataFrame:
     """``(doc_id, ends array<long>, counts array<long>)``: the stored tables, from which any budget is
-    answered by a search: prefix of ``ends[i]`` characters has ``counts[i]`` tokens."""
+    answered by a search: prefix of ``ends[i]`` characters has ``counts[i]`` tokens. Every prefix is in it
+    but the empty one."""
     path = model or public_tokenizers.path(MODEL)
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefix = counter(path)
         for batch in batches:
             for first, chunks, bounds, table in prefix.column_tables(batch.column("text")):
-                rows = list(zip(bounds[:-1], bounds[1:]))
-                sizes = np.concatenate(([0], np.cumsum(pc.utf8_length(chunks).to_numpy().astype(np.int64) + 1)))
                 longs = pa.list_(pa.int64())
+                inside: dict[str, np.ndarray] = {}
+                counts = []
+                for a, b in zip(bounds[:-1], bounds[1:]):
+                    parts = [np.zeros(0, dtype=np.int64)]
+                    for chunk, before in zip(chunks.slice(a, b - a).to_pylist(), table[a:b] - table[a]):
+                        if chunk not in inside:
+                            inside[chunk] = np.asarray(prefix.inside(chunk), dtype=np.int64)[1:]
+                        parts.append(before + inside[chunk])
+                    counts.append(np.concatenate(parts)[1:])  # the first is that of the space before the text
                 columns = [
-                    batch.column("doc_id").slice(first, len(rows)),
-                    pa.array([sizes[a + 1 : b + 1] - sizes[a] - 1 for a, b in rows], longs),
-                    pa.array([table[a + 1 : b + 1] - table[a] for a, b in rows], longs),
+                    batch.column("doc_id").slice(first, len(counts)),
+                    pa.array([np.arange(1, len(found) + 1) for found in counts], longs),
+                    pa.array(counts, longs),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ends", "counts"])
 

@@ -134,6 +134,15 @@ def test_tokens_equal_the_library_at_every_prefix(docs, edge_rows):
     assert [r.n_tokens for r in token_counts.token_counts(edge_rows).collect()][:3] == [0, 0, 0]
 
 
+def test_stored_tables_hold_every_prefix(docs):
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(token_counts.MODEL))
+    texts = ["two  words here", "日本語の文章です。", "", None, "aGVsbG8gd29ybGQhIQ==", " ", "a"]
+    got = {r.doc_id: r for r in token_counts.prefix_tables(docs(*texts)).collect()}
+    for i, text in enumerate(texts):
+        ends = list(range(1, len(text or "") + 1))
+        assert got[i].ends == ends and got[i].counts == [len(model.encode(text[:k])) for k in ends]
+
+
 @pytest.mark.parametrize("compress", [True, False])
 def test_warc_round_trip_and_salvage(spark, tmp_path, compress):
     long = "<p>é" + "x" * 200
