@@ -159,13 +159,21 @@ def _member(data: memoryview, at: int) -> tuple[int, bytes | None, str]:
     return min(position, len(data)) - len(unpacker.unused_data), b"".join(parts), ""
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
+def salvage(data: bytes, packed: bool | None = None) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
     """``(offset, length, fields, block, problem)`` of each record of a file, and of each gap between
-    records: its fields are None, and the problem says why the first check failed."""
-    packed = data[:2] == MAGIC[:2] or (not data.startswith(b"WARC/") and MAGIC in data)
+    records: its fields are None, and the problem says why the first check failed.
+
+    The content of a member that is not one record is searched like a plain file; what is found there has
+    the offset and length of the member.
+    """
+    if packed is None:
+        packed = data[:2] == MAGIC[:2] or (not data.startswith(b"WARC/") and MAGIC in data)
     view = memoryview(data)
 
+    several: list[tuple[int, int, dict | None, bytes, str]] = []
+
     def read(at: int) -> tuple[int, dict | None, bytes, str]:
+        several.clear()
         if not packed:
             return _parsed(data, at, False)
         if data[at : at + 3] != MAGIC:
@@ -176,6 +184,11 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
         if not content:
             return end, {}, b"", ""
         _, fields, block, problem = _parsed(content, 0, True)
+        if fields is None:
+            several.extend(salvage(content, False))
+            if any(part[2] is not None for part in several):
+                return end, {}, b"", ""
+            several.clear()
         return (end if fields is not None else at), fields, block, problem
 
     mark = MAGIC if packed else b"WARC/1."
@@ -188,6 +201,9 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, bytes, str]]:
                 gap = None
             if fields:  # an empty member separates records
                 yield at, end - at, fields, block, ""
+            for start, length, *part, problem in several:
+                where = f" at {start} to {start + length} of the member's content" if problem else ""
+                yield at, end - at, *part, problem + where
             at = end
             continue
         if gap is None:
@@ -209,7 +225,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     ``problem`` is null for a record. For a gap it has the failed check, and ``offset`` and ``length``
     the quarantined bytes. A revisit has no payload; its ``payload_bytes`` and ``payload_digest`` are
-    those of the page it refers to. An empty folder gives no rows.
+    those of the page it refers to. Files whose names begin with an underscore or a point are not of
+    the archive. An empty folder gives no rows.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +262,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(read, RECORDS)
 
 

@@ -173,6 +173,32 @@ def test_warc_round_trip_and_salvage(spark, tmp_path, compress):
     assert list(warc.salvage(data[:-7]))[-1][2] is None and list(warc.salvage(b"")) == []
 
 
+def test_warc_files_of_other_names_and_members_of_several_records(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>" * 30) for i in range(6)], "page_id long, url string, html string")
+    warc.write_warc(pages.coalesce(1), str(tmp_path / "plain"), False)
+    data = b"".join(f.read_bytes() for f in (tmp_path / "plain").glob("part-*"))
+    whole = list(warc.salvage(data))
+    assert len(whole) == 6
+    offset, length = whole[2][:2]
+    broken = data[: offset + length - 40] + b"\x00\x01" + data[offset + length - 38 :]
+    folder = tmp_path / "archive"
+    folder.mkdir()
+    (folder / "crawl-0001.warc.gz").write_bytes(gzip.compress(data))
+    (folder / "crawl-0002.warc.gz").write_bytes(gzip.compress(broken))
+    (folder / "crawl-0003.warc").write_bytes(data)
+    (folder / "_SUCCESS").write_bytes(data)
+    (folder / ".crawl.crc").write_bytes(data)
+    found = warc.read_warc(spark, str(folder))
+    ids = defaultdict(list)
+    for r in warc.records(found).collect():
+        ids[r.file[-7:]].append(r.page_id)
+    names = ("warc.gz", "03.warc")
+    assert sorted(ids[names[0]]) == sorted([*range(6), 0, 1, 3, 4, 5]) and sorted(ids[names[1]]) == list(range(6))
+    log = warc.gaps(found).collect()
+    assert [r.file[-12:] for r in log] == ["0002.warc.gz"] and log[0].offset == 0
+    assert log[0].length == len(gzip.compress(broken))
+
+
 def test_quality_counts_and_guards(docs, edge_rows):
     def good(n):
         return " ".join(f"the w{n}x{i} of" for i in range(60))
