@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rankloom.durable import scratch_path
-from rankloom.llm import chat, decontaminate, html_text, language_id, mixing, near_dup, pii, quality, token_counts, warc
+from rankloom.llm import (
+    chat, decontaminate, hard_negatives, html_text, language_id, line_dedup, mixing, near_dup, pii, quality, token_counts,
+    warc, whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,10 +68,26 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`line_dedup.line_digest`."""
+    return line_dedup.line_digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`whitening.whitened`."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`hard_negatives.hard_negatives`; rows whose id is divisible by 7 get the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_language, op2_tokens, op3_warc, op4_quality, op5_chat, op6_pseudonyms, op7_near_dup, op8_mixture,
-              op9_decontaminate, op10_html)
+              op9_decontaminate, op10_html, op11_line_dedup, op12_whitening, op13_hard_negatives)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -274,6 +294,40 @@ select doc_id, len(words)::bigint as n_words, coalesce(covered.n, 0)::bigint as
 from d left join covered using (r) left join items using (r)
 """
 
+_OP11 = f"""
+with l as (
+    select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+k as (
+    select r, doc_id, i, lines[i] as line,
+           translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') as key
+    from (select *, unnest(range(1, len(lines) + 1)) as i from l)),
+shared as (select key from k where length(key) >= 1 group by key having count(distinct r) >= 10)
+select any_value(doc_id) as doc_id, count(*) as n_lines, count(*) filter (shared.key is not null) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (shared.key is null), '')) as kept_sha256
+from k left join shared using (key) group by r
+"""
+
+_OP13 = """
+with v as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda c: floor(256 * c::double)) as x
+    from embeddings
+    where label is not null and embedding is not null and vec_id is not null
+      and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (
+    select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same, list_dot_product(a.x, r.x)::bigint as score
+    from v a join v r on a.vec_id % 100 = 0 and a.vec_id <> r.vec_id),
+p as (
+    select anchor_id, other_id as positive_id, score as positive_score from s where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+n as (
+    select anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score,
+           row_number() over (partition by anchor_id, positive_id order by score desc, other_id)::int as rank
+    from p join s using (anchor_id)
+    where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc": _OP3,
     "op4_quality": _quality_sql(),
@@ -281,4 +335,6 @@ ORACLE: dict[str, str] = {
     "op7_near_dup": _OP7,
     "op8_mixture": _OP8,
     "op9_decontaminate": _OP9,
+    "op11_line_dedup": _OP11,
+    "op13_hard_negatives": _OP13,
 }
