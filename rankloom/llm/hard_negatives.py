@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -192,40 +191,41 @@ def _negatives(rows: DataFrame, block: Block, positives: list[list[int]], k: int
     return rows.mapInArrow(search, "anchor int, place int, negative_id long, negative_score long")
 
 
-def _anchor_blocks(rows: DataFrame, anchors: str, block_anchors: int) -> DataFrame:
-    """Anchors with their block and the tree of the block, written once.
+def _anchor_blocks(rows: DataFrame, anchors: str, block_anchors: int) -> tuple[DataFrame, int]:
+    """Anchors with their block and the tree of the block, written once, and how many blocks there may be.
 
-    Blocks are cut from ranges of the ids; a task makes the trees of its blocks one after the other.
+    A hash over an anchor and its place deals the anchors to blocks, repeated ones too, so that a block has some
+    ``block_anchors`` of them whatever the number of partitions. A task makes the trees of its blocks one after the other.
     """
-    chosen = rows.where(anchors)
-    parts = max(1, -(-chosen.count() // block_anchors))
+    chosen = rows.where(anchors).select("*", F.monotonically_increasing_id().alias("at"))
+    blocks = max(1, -(-chosen.count() // block_anchors))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(table: pa.Table) -> pa.RecordBatch:
-            nonlocal blocks
-            ids, labels, x = (table.column(n).combine_chunks() for n in ("vec_id", "label", "x"))
+            block, ids, labels, x = (table.column(n).combine_chunks() for n in ("block", "vec_id", "label", "x"))
             order, parent, edge = spanning_tree(matrix(x))
             visited = np.empty(len(order), dtype=np.int64)
             visited[order] = np.arange(len(order))
-            blocks += 1
-            of = np.full(len(order), (TaskContext.get().partitionId() << 32) + blocks)
             return pa.RecordBatch.from_arrays(
-                [pa.array(of), pa.array(np.arange(len(order))), ids, labels, x, pa.array(visited), pa.array(parent), pa.array(edge)],
+                [block, pa.array(np.arange(len(order))), ids, labels, x, pa.array(visited), pa.array(parent), pa.array(edge)],
                 ["block", "anchor", "vec_id", "label", "x", "visit", "parent", "edge"],
             )
 
-        blocks, held = 0, None
+        held = None
         for batch in batches:
-            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            while held.num_rows >= block_anchors:
-                yield done(held.slice(0, block_anchors))
-                held = held.slice(block_anchors)
+            own = pa.Table.from_batches([batch])
+            held = own if held is None else pa.concat_tables([held, own])
+            ends = np.flatnonzero(np.diff(held.column("block").to_numpy())) + 1
+            for start, end in zip([0, *ends[:-1]], ends):
+                yield done(held.slice(start, end - start))
+            held = held.slice(ends[-1]) if len(ends) else held
         if held is not None and held.num_rows:
             yield done(held)
 
-    ordered = chosen.repartitionByRange(parts, "vec_id").sortWithinPartitions("vec_id", "label", "x")
+    block = F.pmod(F.xxhash64("vec_id", "at"), F.lit(blocks)).cast("long")
+    dealt = chosen.withColumn("block", block).repartition(blocks, "block").sortWithinPartitions("block", "vec_id", "at")
     schema = "block long, anchor long, vec_id long, label long, x array<long>, visit long, parent long, edge double"
-    return materialize(ordered.mapInArrow(trees, schema), "anchors")
+    return materialize(dealt.drop("at").mapInArrow(trees, schema), "anchors"), blocks
 
 
 def hard_negatives(
@@ -250,7 +250,7 @@ def hard_negatives(
     vector of another length than most take no part. Repeated rows count as many times as they are there; rows
     with the anchor's id are never its positives. Empty tables give no rows; other columns are ignored.
 
-    All rows are read twice for every block of ``block_anchors`` anchors. The driver holds one block, its
+    All rows are read twice for every block of some ``block_anchors`` anchors. The driver holds one block, its
     trees and its positives at a time.
     """
     spark = rows.sparkSession
@@ -258,13 +258,14 @@ def hard_negatives(
         F.col(vec_id).cast("long").alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(vector).alias("vector")
     ).where("vec_id is not null and label is not null")
     all_rows = materialize(whole_vectors(chosen, "vector", FACTOR, 0, LIMIT), "candidates")
-    trees = _anchor_blocks(all_rows, anchors, block_anchors)
+    trees, blocks = _anchor_blocks(all_rows, anchors, block_anchors)
     out = scratch_path(spark, "hard-negatives")
     schema = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
     spark.createDataFrame([], schema).write.parquet(f"{out}/part=none")
-    numbers = trees.select("block").distinct().orderBy("block")
-    for number in (row.block for row in numbers.toLocalIterator()):
-        one = trees.where(F.col("block") == number).orderBy("anchor").toArrow()
+    for number in range(blocks):
+        one = trees.where(F.col("block") == number).toArrow().sort_by("anchor")
+        if not one.num_rows:
+            continue
         order = np.argsort(one.column("visit").to_numpy())
         plain = {n: one.column(n).to_numpy() for n in ("vec_id", "label", "parent", "edge")}
         block = Block(plain["vec_id"], plain["label"], matrix(one.column("x").combine_chunks()), order, plain["parent"], plain["edge"])
