@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankloom.durable import materialize
@@ -18,6 +18,7 @@ from rankloom.sources.corpus import read_corpus, spread_small
 
 # Fixed value: the month of page views in the events table.
 VIEW_MONTH = "2024-01"
+NEXT_MONTH = "2024-02"
 
 _SHARED: dict[tuple, object] = {}
 
@@ -77,6 +78,28 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_pages(spark, sf_dir).select("doc_id", "title").where("title is not null")
 
 
+def two_months_of_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, user_id, ts)``: the view events, a third of them a month later."""
+    later = F.when(F.col("event_id") % 3 == 0, F.make_ym_interval(F.lit(0), F.lit(1))).otherwise(F.make_ym_interval(F.lit(0), F.lit(0)))
+    views = table(spark, sf_dir, "events").where("event_type = 'view'")
+    return views.select("event_id", "user_id", (F.col("ts") + later).alias("ts"))
+
+
+# Ranks by frequency of the words that frequent_queries pairs, and how many pairs there are.
+FREQUENT_QUERIES = 12
+
+
+def frequent_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(query_id, query)``: queries of two of the most frequent words, few terms with many postings."""
+    order = Window.orderBy(F.desc("df"), "term")
+    words = index(spark, sf_dir, 0).term_stats.orderBy(F.desc("df"), "term").limit(2 * FREQUENT_QUERIES + 1)
+    words = words.withColumn("place", F.row_number().over(order)).select("place", "term")
+    second = words.select((F.col("place") - 1).alias("twice"), F.col("term").alias("other"))
+    return words.join(second, 2 * F.col("place") == F.col("twice")).select(
+        F.col("place").cast("long").alias("query_id"), F.concat_ws(" ", "term", "other").alias("query")
+    )
+
+
 def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(id, anchor_text)``: a supplier links to the suppliers of the next line of its orders."""
     lines = table(spark, sf_dir, "lineitem")

@@ -17,9 +17,11 @@ from rankloom.operators import index as ix
 from rankloom.operators import matching as mt
 from rankloom.operators import ranking as rk
 from rankloom.operators import terms as tx
+from rankloom.operators.stems import stem_table
 from rankloom.plans import search as sr
 from rankloom.plans.build_index import Index, add_documents, build_index, save_index
-from rankloom.sources import artifacts, corpus
+from rankloom.sources import artifacts, corpus, views
+from rankloom.sources.judgments import judgment_table, query_table, read_judgments, save_judgments
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -71,16 +73,19 @@ def query_terms(spark: SparkSession, sf: str) -> DataFrame:
     return tx.query_terms(fx.benchmark_queries(spark, sf))
 
 
-def plural_stems(spark: SparkSession, sf: str) -> DataFrame:
-    """``(term, stem)``: words in -s whose form without it is a word of the corpus too."""
-    terms = fx.index(spark, sf, 0).term_stats.select("term")
-    plurals = terms.where(F.col("term").endswith("s")).select("term", F.expr("left(term, length(term) - 1)").alias("stem"))
-    return plurals.join(terms.withColumnRenamed("term", "stem"), "stem", "left_semi")
+def corpus_stems(spark: SparkSession, sf: str) -> DataFrame:
+    """``(term, stem)``: words of the corpus that are another of its words with a regular ending."""
+    return fx.shared(spark, sf, "stems", lambda: stem_table(fx.index(spark, sf, 0).term_stats))
+
+
+@job
+def stems(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_stems(spark, sf)
 
 
 @job
 def mapped_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return tx.map_terms(tx.query_terms(fx.benchmark_queries(spark, sf)), plural_stems(spark, sf))
+    return tx.map_terms(tx.query_terms(fx.benchmark_queries(spark, sf)), corpus_stems(spark, sf))
 
 
 @job
@@ -139,13 +144,13 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def grown_index(spark: SparkSession, sf: str, min_df: int = 0) -> Index:
-    """The English documents indexed first, the others added, saved and loaded again."""
+    """The English documents indexed first, the others added, published and loaded again."""
 
     def build() -> Index:
         docs = fx.table(spark, sf, "documents")
         first = build_index(docs.where("lang <=> 'en'").select("doc_id", "text"), min_df=min_df)
         grown = add_documents(first, docs.where("not lang <=> 'en'").select("doc_id", "text"))
-        return save_index(grown, scratch_path(spark, "grown"))
+        return save_index(grown)
 
     return fx.shared(spark, sf, f"grown-{min_df}", build)
 
@@ -228,6 +233,18 @@ def bm25_by_term_top10(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(sr.bm25(by_term, fx.benchmark_queries(spark, sf)), "score")
 
 
+@job
+def bm25_frequent_terms_top10(spark: SparkSession, sf: str) -> DataFrame:
+    """Few terms with many postings, by score bounds of blocks of documents."""
+    bounded = fx.shared(spark, sf, "bounded", lambda: build_index(fx.documents(spark, sf), min_df=0, impact_rows=20))
+    return rounded(sr.bm25(bounded, fx.frequent_queries(spark, sf), prune_rows=0), "score")
+
+
+@job
+def body_search_frequent_terms(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(sr.body(fx.index(spark, sf, 0), fx.frequent_queries(spark, sf)), "score")
+
+
 @job
 def bm25_separate_lengths_top10(spark: SparkSession, sf: str) -> DataFrame:
     index = fx.index(spark, sf)
@@ -237,7 +254,7 @@ def bm25_separate_lengths_top10(spark: SparkSession, sf: str) -> DataFrame:
 
 @job
 def bm25_classic_top10(spark: SparkSession, sf: str) -> DataFrame:
-    found = sr.bm25_classic(fx.index(spark, sf), fx.benchmark_queries(spark, sf), plural_stems(spark, sf))
+    found = sr.bm25_classic(fx.index(spark, sf), fx.benchmark_queries(spark, sf), corpus_stems(spark, sf))
     return rounded(found, "score")
 
 
@@ -298,6 +315,31 @@ def monthly_page_views(spark: SparkSession, sf: str) -> DataFrame:
     return mt.page_views(views, fx.VIEW_MONTH, "user_id")
 
 
+def view_store(spark: SparkSession, sf: str) -> str:
+    """A store of two months, filled in two goes; the second brings late views of both."""
+
+    def fill() -> str:
+        path, rows = scratch_path(spark, "views"), fx.two_months_of_views(spark, sf)
+        for late in (False, True):
+            views.add_views(spark, path, rows.where(F.lit(late) == (F.col("event_id") % 5 == 0)), "user_id")
+        return path
+
+    return fx.shared(spark, sf, "views", fill)
+
+
+@job
+def stored_page_views(spark: SparkSession, sf: str) -> DataFrame:
+    return views.month_views(spark, view_store(spark, sf), fx.NEXT_MONTH)
+
+
+@job
+def stored_pageview_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    requests = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("request_id"), F.array("c_custkey", F.col("c_nationkey").cast("long")).alias("ids")
+    )
+    return mt.page_views_of(requests, views.month_views(spark, view_store(spark, sf), fx.VIEW_MONTH))
+
+
 # Graph
 
 
@@ -357,6 +399,16 @@ def judgments(spark: SparkSession, sf: str) -> DataFrame:
     return fx.judgments(spark, sf)
 
 
+@job
+def stored_judgments(spark: SparkSession, sf: str) -> DataFrame:
+    """Judgments written as JSON objects by the text of the query and read again; queries without any stay."""
+    path, queries = scratch_path(spark, "judged"), fx.benchmark_queries(spark, sf)
+    judged = queries.join(fx.judgments(spark, sf), "query_id", "left").select("query", "doc_id").distinct()
+    save_judgments(judged, path, 3)
+    read = read_judgments(spark, path)
+    return query_table(read).join(judgment_table(read), "query_id", "left").select("query", "doc_id")
+
+
 def _judged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return fx.benchmark_queries(spark, sf), fx.search_results(spark, sf), fx.judgments(spark, sf)
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from rankloom.catalog import fixtures as fx
 from rankloom.catalog.fixtures import EDGE_QUERIES, VIEW_MONTH
 from rankloom.catalog.jobs import DEEP_RESULTS, SAMPLE_TERM
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators.index import BLOCK_IDS, MIN_DF, NUM_BUCKETS
+from rankloom.operators.stems import MAX_ENDING, MIN_PAIRS, MIN_SHARE, MIN_STEM
 
 PATTERN = r"[#@\p{L}\p{N}_](?:[''\-]?[\p{L}\p{N}_]){2,24}"
 
@@ -37,11 +39,25 @@ FACTS = f"""{DOC_TOKENS},
     stats as (select term, count(*) as df, sum(tf)::bigint as term_total from facts group by term)"""
 QUERY_TERMS = f"""{QUERY_TOKENS},
     query_terms as (select query_id, term, count(*) as qtf, min(pos)::int as pos from query_tokens group by all)"""
-STEMS = """
-    stems as (
-      select term, left(term, len(term) - 1) as stem from stats
-      where term like '%s' and left(term, len(term) - 1) in (select term from stats)
+STEMS = f"""
+    cuts as (
+      select term, left(term, len(term) - cut) as stem, right(term, cut) as ending
+      from stats, (select unnest(range(1, {MAX_ENDING} + 1)) as cut) where len(term) - cut >= {MIN_STEM}
     ),
+    seen as (select *, stem in (select term from stats) as known from cuts),
+    regular as (
+      select ending from seen group by ending
+      having count(*) filter (known) >= {MIN_PAIRS} and count(*) filter (known) >= {MIN_SHARE} * count(*)
+    ),
+    parents as materialized (
+      select term, max(stem) as stem from seen where known and ending in (select ending from regular) group by term
+    ),
+    chains as (
+      select term, stem from parents
+      union all
+      select chains.term, parents.stem from chains join parents on parents.term = chains.stem
+    ),
+    stems as (select term, arg_min(stem, len(stem)) as stem from chains group by term),
     mapped_terms as (
       select query_id, coalesce(stem, term) as term, sum(qtf)::bigint as qtf, min(pos) as pos
       from query_terms left join stems using (term) group by all
@@ -191,6 +207,48 @@ VIEWS = f"""
       where event_type = 'view' and strftime(ts, '%Y-%m') = '{VIEW_MONTH}' group by user_id
     )"""
 
+FREQUENT_QUERIES = f"""
+    placed as (select term, row_number() over (order by df desc, term) as place from stats),
+    query_terms as (
+      select query_id, term, 1 as qtf, (place <> query_id)::int as pos
+      from placed join (select unnest(range(1, {fx.FREQUENT_QUERIES} + 1)) as query_id)
+        on place = query_id or place = 2 * query_id + 1
+    )"""
+
+
+def _body(min_df: int) -> str:
+    return f"""
+        weights as (
+          select term, doc_id, tf * ln(n / df) as weight, ln(n / df) as idf
+          from facts join stats using (term), corpus where df > {min_df}
+        ),
+        norms as (select doc_id, sqrt(sum(weight * weight)) as norm from weights group by doc_id),
+        query_weights as (
+          select query_id, term, qtf * ln(n / df) as query_weight
+          from query_terms join stats using (term), corpus where df > {min_df}
+        ),
+        query_norms as (
+          select query_id, sqrt(sum(query_weight * query_weight)) as query_norm from query_weights group by query_id
+        ),
+        dots as (
+          select query_id, doc_id, sum(weight * query_weight) as dot
+          from query_weights join weights using (term) group by all having dot > 0
+        ),
+        cosines as (
+          select query_id, doc_id, dot / (norm * query_norm) as score
+          from dots join norms using (doc_id) join query_norms using (query_id)
+        )
+        select query_id, rank, doc_id, round(score, 6) as score from (
+          select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank from cosines
+        ) where rank <= 100"""
+
+
+LATER_VIEWS = """
+    moved as (
+      select user_id as id, case when event_id % 3 = 0 then ts + interval 1 month else ts end as ts
+      from events where event_type = 'view'
+    )"""
+
 ORACLE: dict[str, str] = {
     "corpus_count": "select count(*) as pages from documents",
     "tokens": f"with {DOC_TOKENS} select doc_id, pos::int as pos, term from doc_tokens",
@@ -199,7 +257,8 @@ ORACLE: dict[str, str] = {
         where term not in ({STOPS}) and term not in (select lower(n_name) from nation)""",
     "term_counts": f"with {FACTS} select term, doc_id, tf from facts",
     "query_terms": f"with {QUERY_TERMS} select * from query_terms",
-    "mapped_terms": f"with {FACTS}, {QUERY_TERMS}, {STEMS} select * from mapped_terms",
+    "stems": f"with recursive {FACTS}, {QUERY_TERMS}, {STEMS} select * from stems",
+    "mapped_terms": f"with recursive {FACTS}, {QUERY_TERMS}, {STEMS} select * from mapped_terms",
     "titles": f"with {TITLES} select * from page_titles",
     "term_df": f"with {FACTS} select term, df from stats",
     "term_totals": f"with {FACTS} select term, term_total from stats",
@@ -236,7 +295,7 @@ ORACLE: dict[str, str] = {
     "bm25_all_terms_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10, min_df=0)} {RESULT} found",
     "bm25_by_term_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found",
     "bm25_separate_lengths_top10": f"with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)} {RESULT} found",
-    "bm25_classic_top10": f"""with {FACTS}, {QUERY_TERMS}, {STEMS},
+    "bm25_classic_top10": f"""with recursive {FACTS}, {QUERY_TERMS}, {STEMS},
         {_bm25('found', 10, b=0.75, terms='mapped_terms')} {RESULT} found""",
     "rerank": f"""with {FACTS}, {QUERY_TERMS}, {_bm25('candidates', 30)}, {BLENDING}, {_reranked('candidates')}
         {RESULT} reranked""",
@@ -245,30 +304,9 @@ ORACLE: dict[str, str] = {
         from reranked left join page_titles using (doc_id)""",
     "search_without_artifacts": f"""with {FACTS}, {QUERY_TERMS}, {_bm25('found', 10)}
         select query_id, rank, doc_id, round(0.8::double * score, 6) as score, 'UNKNOWN TITLE' as title from found""",
-    "body_search": f"""with {FACTS}, {QUERY_TERMS},
-        weights as (
-          select term, doc_id, tf * ln(n / df) as weight, ln(n / df) as idf
-          from facts join stats using (term), corpus where df > {MIN_DF}
-        ),
-        norms as (select doc_id, sqrt(sum(weight * weight)) as norm from weights group by doc_id),
-        query_weights as (
-          select query_id, term, qtf * ln(n / df) as query_weight
-          from query_terms join stats using (term), corpus where df > {MIN_DF}
-        ),
-        query_norms as (
-          select query_id, sqrt(sum(query_weight * query_weight)) as query_norm from query_weights group by query_id
-        ),
-        dots as (
-          select query_id, doc_id, sum(weight * query_weight) as dot
-          from query_weights join weights using (term) group by all having dot > 0
-        ),
-        cosines as (
-          select query_id, doc_id, dot / (norm * query_norm) as score
-          from dots join norms using (doc_id) join query_norms using (query_id)
-        )
-        select query_id, rank, doc_id, round(score, 6) as score from (
-          select *, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank from cosines
-        ) where rank <= 100""",
+    "body_search": f"with {FACTS}, {QUERY_TERMS}, {_body(MIN_DF)}",
+    "body_search_frequent_terms": f"with {FACTS}, {FREQUENT_QUERIES}, {_body(0)}",
+    "bm25_frequent_terms_top10": f"with {FACTS}, {FREQUENT_QUERIES}, {_bm25('found', 10, min_df=0)} {RESULT} found",
     "title_search": f"""with {QUERY_TERMS}, {TITLES}, {_tokens("title_tokens", "page_titles", "doc_id", "title", STOPS)}
         select query_id, doc_id, title, count(distinct term) as matches
         from query_terms join title_tokens using (term) join page_titles using (doc_id) group by all""",
@@ -283,6 +321,15 @@ ORACLE: dict[str, str] = {
         )
         select request_id, pos, id, coalesce(value, 0) as value from asked left join views using (id)""",
     "monthly_page_views": f"with {VIEWS} select * from views",
+    "stored_page_views": f"""with {LATER_VIEWS}
+        select id, count(*) as value from moved where strftime(ts, '%Y-%m') = '{fx.NEXT_MONTH}' group by id""",
+    "stored_pageview_lookup": f"""with {LATER_VIEWS},
+        counted as (select id, count(*) as value from moved where strftime(ts, '%Y-%m') = '{VIEW_MONTH}' group by id),
+        asked as (
+          select c_custkey as request_id, unnest([0, 1])::int as pos, unnest([c_custkey, c_nationkey::bigint]) as id
+          from customer
+        )
+        select request_id, pos, id, coalesce(value, 0) as value from asked left join counted using (id)""",
     "edges": f"with {SUPPLIER_EDGES} select * from edges",
     "link_rows": f"with {ANCHORS} select src, dst from page_links",
     "vertices": f"with {PAGE_EDGES} select src as id from edges union select dst from edges",
@@ -301,6 +348,8 @@ ORACLE: dict[str, str] = {
         )
         select request_id, pos, id, round(coalesce(pagerank, 0), 6) as value from asked left join ranks using (id)""",
     "judgments": f"with {FACTS}, {QUERY_TERMS}, {JUDGMENTS} select * from judgments",
+    "stored_judgments": f"""with {FACTS}, {QUERY_TERMS}, {JUDGMENTS}
+        select distinct text as query, doc_id from {QUERIES} q left join judgments using (query_id)""",
     "average_precision": f"with {METRICS}, {AVERAGE_PRECISION}",
     "average_precision_edge_queries": f"with {DEEP}, {AVERAGE_PRECISION}",
     "precision_recall_f1": f"with {METRICS} select query_id, p5 as precision, r5 as recall, f5 as f1 from scores",

@@ -7,9 +7,13 @@ column, and gives the optimizer its true size.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; in local mode one in the warehouse if unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -36,6 +40,13 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, in whatever store it lies."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Scratch:
     """Tables that a job needs only while it runs: they are deleted when the block ends, also by an error.
 
@@ -50,10 +61,8 @@ class Scratch:
         return self
 
     def __exit__(self, *error: object) -> None:
-        context = self._spark.sparkContext
         for path in self._paths:
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(self._spark, path)
 
     def path(self, name: str) -> str:
         self._paths.append(scratch_path(self._spark, name))
@@ -62,3 +71,9 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """As :func:`materialize`."""
         return _written(df, self.path(name))
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Run jobs that do not depend on each other at the same time, so that one fills the cores the other leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]

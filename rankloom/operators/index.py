@@ -46,6 +46,14 @@ def keep_frequent(
     return salted_join(facts, vocabulary, "term", hot_keys(frequent, "term", "df", min_hot_rows), ["doc_id"])
 
 
+def above_cut(postings: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Stored postings, which have their bucket, of the terms in ``frequent``.
+
+    No hint and no count, as the table may never be read; the optimizer broadcasts a small vocabulary.
+    """
+    return postings.join(frequent.select("term"), "term", "left_semi").select(*postings.columns)
+
+
 def posting_lists(postings: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """``(term, block, postings array<struct<doc_id, tf>>)``: posting lists in blocks.
 

@@ -43,10 +43,13 @@ def body_search(
     k: int = BODY_TOP,
     small: bool | None = None,
     min_hot_rows: int | None = None,
+    doc_parts: int | None = None,
 ) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: cosine of TF-IDF vectors, best ``k``, ties by document.
 
-    Pairs that share only terms found in every document have no cosine and are left out.
+    Pairs that share only terms found in every document have no cosine and are left out. Facts and norms in
+    the same buckets by document need no shuffle for sums and norms. Other hits are dealt by document
+    to ``doc_parts``, if given, the buckets of the norms.
     """
     if norms is None:
         norms = document_norms(postings, term_stats, corpus_stats, min_hot_rows)
@@ -61,9 +64,11 @@ def body_search(
         .drop("qtf", "df", "pos")
     )
     query_norms = known.groupBy("query_id").agg(F.sqrt(F.sum(F.pow("query_weight", F.lit(2)))).alias("query_norm"))
+    hits = match_terms(postings, known, term_stats, small=small, min_hot_rows=min_hot_rows)
+    if doc_parts:
+        hits = hits.select("query_id", "doc_id", "tf", "idf", "query_weight").repartition(doc_parts, "doc_id")
     dots = (
-        match_terms(postings, known, term_stats, small=small, min_hot_rows=min_hot_rows)
-        .groupBy("query_id", "doc_id")
+        hits.groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("tf") * F.col("idf") * F.col("query_weight")).alias("dot"))
         .where("dot > 0")
     )

@@ -124,13 +124,16 @@ def best_first(scores: DataFrame, k: int = TOP) -> DataFrame:
     return top_k(scores, "query_id", order, k).select("query_id", "rank", "doc_id", "score")
 
 
-def rerank(candidates: DataFrame, ranks: DataFrame, k: int = TOP, alpha: float = ALPHA) -> DataFrame:
+def rerank(
+    candidates: DataFrame, ranks: DataFrame, k: int = TOP, alpha: float = ALPHA, small: bool | None = None
+) -> DataFrame:
     """Blend text score and PageRank and keep the best ``k``; equal values keep the text order.
 
     ``candidates (query_id, rank, doc_id, score)``; a document without PageRank has 0.0. The ranks
     are cut to the candidates first, so the large table is not shuffled for a small batch.
     """
-    blended = attach(candidates, ranks.select(F.col("id").alias("doc_id"), "pagerank"), "doc_id").withColumn(
+    known = ranks.select(F.col("id").alias("doc_id"), "pagerank")
+    blended = attach(candidates, known, "doc_id", small=small).withColumn(
         "final", F.lit(alpha) * F.col("score") + F.lit(1 - alpha) * F.coalesce("pagerank", F.lit(0.0))
     )
     order = [F.desc(nine_places("final")), F.asc("rank")]
@@ -139,17 +142,29 @@ def rerank(candidates: DataFrame, ranks: DataFrame, k: int = TOP, alpha: float =
     )
 
 
-def attach(rows: DataFrame, values: DataFrame, key: str) -> DataFrame:
-    """Left join with a table of one row per key, cut first to the keys asked for."""
-    needed = values.join(rows.select(key).distinct(), key, "left_semi")
+def attach(rows: DataFrame, values: DataFrame, key: str, keys: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    """Left join with a table of one row per key.
+
+    ``keys`` holds the keys of the rows, or more. Keys that were counted and are few go to the values, so the large table
+    is cut without a shuffle; what is left of it, one row per key at most, is joined as its size at run time
+    suggests. More of them are joined by shuffle with hot keys split. ``small`` is the outcome of a count already made.
+    """
+    keys = (rows if keys is None else keys).select(key).distinct()
+    if small is None:
+        small = fits_broadcast(keys)
+    if small:
+        return rows.join(values.join(F.broadcast(keys), key, "left_semi"), key, "left")
+    needed = values.join(keys, key, "left_semi")
     counts = rows.groupBy(key).agg(F.count("*").alias("rows"))
     others = [name for name in rows.columns if name != key]
     return salted_join(rows, needed, key, hot_keys(counts, key, "rows"), others, "left")
 
 
-def with_titles(results: DataFrame, titles: DataFrame, missing: str = NO_TITLE) -> DataFrame:
-    """Results with ``title``."""
-    return attach(results, titles.select("doc_id", "title"), "doc_id").withColumn(
+def with_titles(
+    results: DataFrame, titles: DataFrame, missing: str = NO_TITLE, keys: DataFrame | None = None, small: bool | None = None
+) -> DataFrame:
+    """Results with ``title``; ``keys`` and ``small`` as in :func:`attach`."""
+    return attach(results, titles.select("doc_id", "title"), "doc_id", keys, small).withColumn(
         "title", F.coalesce("title", F.lit(missing))
     )
 

@@ -32,6 +32,11 @@ def fits_broadcast(df: DataFrame) -> bool:
     return _fits(df.agg(*_measures(df)).first())
 
 
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint where it was counted and is within the bounds."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
 def batch_size(query_term_rows: DataFrame) -> tuple[bool, int]:
     """Whether the query terms fit a broadcast, and how many distinct terms there are."""
     size = query_term_rows.agg(*_measures(query_term_rows)).first()
@@ -46,9 +51,13 @@ def hot_keys(counts: DataFrame, key: str, count: str, min_rows: int | None = Non
     has a bounded number of rows.
     """
     target = max(HOT_ROWS if min_rows is None else min_rows, 1)
-    total = counts.agg(F.sum(count).alias("total")).scalar()
-    least = F.greatest(total / F.lit(HOT_KEYS), F.lit(float(target)))
-    return counts.where(F.col(count) > least).select(key, F.ceil(F.col(count) / target).cast("int").alias("splits"))
+    over = counts.where(F.col(count) > target).select(key, F.col(count).alias("hot_rows"))
+    # Counting once tells whether there are too many; as a rule there are hardly any.
+    sizes = counts.agg(F.sum(count).alias("total"), F.count_if(F.col(count) > target).alias("over")).first()
+    if not sizes.over:
+        return counts.sparkSession.createDataFrame([], over.schema).select(key, F.col("hot_rows").cast("int").alias("splits"))
+    least = max((sizes.total or 0) / HOT_KEYS, target)
+    return over.where(F.col("hot_rows") > least).withColumnRenamed("hot_rows", count).select(key, F.ceil(F.col(count) / target).cast("int").alias("splits"))
 
 
 def salted_join(

@@ -18,11 +18,22 @@ CORPUS = _table(
     ("anchor_text", T.ArrayType(LINK)),
 )
 
+DOC_TEXT = _table(("doc_id", ID), ("text", T.StringType()))
+
 POSTINGS = _table(
     ("term", T.StringType()),
     ("doc_id", ID),
     ("tf", T.LongType()),
     ("dl", T.LongType()),
+    ("block", T.LongType()),
+    ("bucket", T.IntegerType()),
+)
+
+IMPACTS = _table(
+    ("term", T.StringType()),
+    ("block", T.LongType()),
+    ("tf", T.LongType()),
+    ("dl", T.LongType()),
     ("bucket", T.IntegerType()),
 )
 
@@ -43,9 +54,11 @@ DOC_LENGTHS = _table(("doc_id", ID), ("dl", T.LongType()))
 
 NORMS = _table(("doc_id", ID), ("norm", T.DoubleType()))
 
+GONE = _table(("doc_id", ID))
+
 CORPUS_STATS = _table(("n", T.LongType()), ("avgdl", T.DoubleType()))
 
-SETTINGS = _table(("min_df", T.LongType()), ("buckets", T.IntegerType()))
+VIEW_COUNTS = _table(("id", ID), ("value", T.LongType()), ("month", T.StringType()))
 
 TITLES = _table(("doc_id", ID), ("title", T.StringType()))
 

@@ -43,13 +43,13 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def save_postings(postings: DataFrame, path: str, buckets: int = NUM_BUCKETS, mode: str = "overwrite") -> None:
-    """Postings in one folder per bucket of terms, sorted by term and document.
+    """Postings in one folder per bucket of terms, sorted by term, block if there is one, and document.
 
     Ranges over bucket, term and document give tasks of even size: a term with very many postings
     is cut into several ranges, and a file covers few terms, so its statistics skip it for others.
     """
     rows = postings if "bucket" in postings.columns else with_bucket(postings, buckets)
-    order = ["bucket", "term", "doc_id"]
+    order = ["bucket", "term", *(["block"] if "block" in rows.columns else []), "doc_id"]
     rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").parquet(path, mode=mode)
 
 

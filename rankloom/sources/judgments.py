@@ -1,4 +1,4 @@
-"""Reading queries with relevance judgments."""
+"""Reading and writing queries with relevance judgments."""
 
 from __future__ import annotations
 
@@ -27,3 +27,16 @@ def query_table(judged: DataFrame) -> DataFrame:
 def judgment_table(judged: DataFrame) -> DataFrame:
     """``(query_id, doc_id)``: the relevant documents."""
     return judged.select("query_id", "doc_id").where("doc_id is not null")
+
+
+def save_judgments(judged: DataFrame, path: str, parts: int = 1) -> None:
+    """Write ``(query, doc_id)`` as ``parts`` files of one JSON object ``{query: [id, ...]}`` each, replacing what was there.
+
+    A query whose documents are all null has an empty list. A file holds its queries as one object, so choose
+    as many parts as keep a file small; all rows of a query are in one.
+    """
+    ids = F.sort_array(F.collect_list(F.col("doc_id").cast("string")))
+    lists = judged.groupBy("query").agg(ids.alias("ids"))
+    part = F.pmod(F.xxhash64("query"), F.lit(parts))
+    whole = lists.groupBy(part.alias("part")).agg(F.map_from_entries(F.collect_list(F.struct("query", "ids"))).alias("judged"))
+    whole.select(F.to_json("judged").alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)

@@ -10,34 +10,58 @@ from pyspark.sql.streaming import DataStreamWriter
 from rankloom import schemas
 from rankloom.functions.text import STOP_WORDS
 from rankloom.operators import index as ix
-from rankloom.operators import terms as tx
-from rankloom.plans.build_index import Index
-from rankloom.sources.artifacts import load_or_empty, save_postings
+from rankloom.plans.build_index import Index, add_documents, build_index, compact_index, load_index, save_index
+
+#: Segments from which the later ones are put together.
+COMPACT_SEGMENTS = 32
 
 
 def index_stream(
-    docs: DataFrame, path: str, stop_words: Iterable[str] = STOP_WORDS, buckets: int = ix.NUM_BUCKETS
+    docs: DataFrame,
+    path: str,
+    stop_words: Iterable[str] = STOP_WORDS,
+    buckets: int = ix.NUM_BUCKETS,
+    min_df: int = 0,
+    doc_buckets: int | None = None,
+    compact_segments: int = COMPACT_SEGMENTS,
 ) -> DataStreamWriter:
-    """A writer that indexes each micro-batch of ``docs (doc_id, text)`` under ``path``.
+    """A writer that adds each micro-batch of ``docs (doc_id, text)`` to the index in ``path``, from nothing on.
 
-    A batch has folders of its own, replaced whole when the batch is run again after a failure, so
-    no document is counted twice.
+    A batch becomes a segment and counts once its version is published, which is the last thing done and
+    names the batch; a batch that is run again after a failure is either there already or not at all. Rows of one
+    id are one document, within a batch and across batches. ``min_df`` and the numbers of buckets hold for an
+    index that is not there yet. After ``compact_segments`` batches the segments behind the first are put together.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        spark, table = batch.sparkSession, f"{path}/doc_terms/batch={batch_id}"
-        tx.doc_terms(batch, stop_words).write.parquet(table, mode="overwrite")
-        facts = tx.term_facts(spark.read.schema(schemas.DOC_TERMS).parquet(table))
-        save_postings(facts, f"{path}/postings/batch={batch_id}", buckets)
-        ix.with_bucket(ix.term_statistics(facts), buckets).write.parquet(f"{path}/term_stats/batch={batch_id}", mode="overwrite")
+        add_batch(batch, batch_id, path, stop_words, buckets, min_df, doc_buckets, compact_segments)
 
     return docs.writeStream.foreachBatch(add)
 
 
+def add_batch(
+    batch: DataFrame,
+    batch_id: int,
+    path: str,
+    stop_words: Iterable[str] = STOP_WORDS,
+    buckets: int = ix.NUM_BUCKETS,
+    min_df: int = 0,
+    doc_buckets: int | None = None,
+    compact_segments: int = COMPACT_SEGMENTS,
+) -> None:
+    """Add one micro-batch to the index, unless the newest version says that it is there."""
+    spark, source = batch.sparkSession, f"batch {batch_id}"
+    index = load_index(spark, path)
+    if index.version.number < 0:
+        none = spark.createDataFrame([], schemas.DOC_TEXT)
+        index = build_index(none, path, min_df, stop_words, buckets, doc_buckets)
+    if index.version.source == source:
+        return
+    index = save_index(add_documents(index, batch, stop_words, source))
+    if len(index.version.segments) > compact_segments:
+        compact_index(index, keep=1)
+
+
 def load_stream_index(spark: SparkSession, path: str) -> Index:
-    """The index of all batches so far; statistics of the batches add up."""
-    per_doc = load_or_empty(spark, f"{path}/doc_terms", schemas.DOC_TERMS).select("doc_id", "dl", "terms")
-    lengths = per_doc.where("dl > 0").select("doc_id", "dl")
-    stats = ix.merge_statistics(load_or_empty(spark, f"{path}/term_stats", schemas.TERM_STATS))
-    postings = load_or_empty(spark, f"{path}/postings", schemas.POSTINGS).select("term", "doc_id", "tf", "dl", "bucket")
-    return Index(postings, stats, lengths, ix.corpus_statistics(lengths), per_doc, stats)
+    """The index of all batches so far."""
+    return load_index(spark, path)
