@@ -5,8 +5,9 @@ adjusted by links: much text in links, or many links, bring it down. A node's de
 children and of its own runs of text. The path from the node with the largest sum up to the body gives a
 threshold, its lowest density; every node whose density or density sum reaches it gives the subtree with the
 largest density sum in it, with the headings right before that. Nested ones are one. (The sum counts too, as
-densities grow with the number of tags: without links, the smaller of two like blocks lies below their parent.) Where the largest sum lies in an article
-or main element, the text is that of the article and main elements with such subtrees, in whole.
+densities grow with the number of tags: without links, the smaller of two like blocks lies below their parent.) Where the
+largest sum lies in an article or main element, the text is that of the article and main elements with such subtrees, in
+whole, and of the innermost one that holds that sum, not of a main element around it.
 
 What is never article (scripts, forms, menus, headers and footers of the page, sidebars, notices,
 adverts, reader comments) is left out before densities are computed, by tag, role and name. Forms and
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -58,13 +59,15 @@ PARTS = frozenset(
     slot sticky top bottom unit wrap wrapper""".split()
 )
 LISTS = frozenset("articles buttons icons links posts stories".split())
-#: Names that an article has for parts of its own; inside it they leave out nothing.
+#: Names that an article has for parts of its own: as the id of a section, or of a paragraph, they leave out nothing in it.
 TOPICS = frozenset(
-    """advertising banner comment consent cookies discussion navigation notice notices notification alert overlay promotion
-    recommendations recommended related replies reply respond sharing social sponsor subscription""".split()
+    """advertising banner consent cookies discussion navigation notice notices notification alert overlay promotion
+    recommendations recommended related sharing social sponsor subscription""".split()
 )
 #: Names of reader comments, which may be longer than the article.
 READERS = frozenset("comment comments commentlist disqus respond replies reply discussion".split())
+#: Left out elements whose inside closes nothing around them, not even by an end tag.
+SEALED = frozenset("textarea select template noscript iframe object svg canvas audio video".split())
 #: Elements that an opening tag of the same kind closes, up to the container they belong to.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -102,25 +105,46 @@ class Tree(HTMLParser):
         self.root = Node("html", None, False)
         self.open = [self.root]
         self.nodes = [self.root]
-
-    def _within(self, tags: set[str] | frozenset[str]) -> bool:
-        return any(node.tag in tags for node in self.open)
-
-    def _close(self, closed: set[str], within: set[str]) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in closed:
-                del self.open[i:]
-                return
-            if self.open[i].tag in within:
-                return
+        #: Places in ``open`` of each tag, of block elements, and of the outermost element that is left out.
+        self.places: dict[str, list[int]] = {"html": [0]}
+        self.blocks = [0]
+        self.sealed: int | None = None
+
+    def _last(self, tags: Iterable[str]) -> int:
+        """The innermost open element of some tags; -1 if there is none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def _push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.open))
+        if node.dropped and self.sealed is None:
+            self.sealed = len(self.open)
+        self.open.append(node)
+
+    def _cut(self, at: int) -> None:
+        """Close all open elements from a place on."""
+        while len(self.open) > max(at, 1):
+            node = self.open.pop()
+            self.places[node.tag].pop()
+            if node.tag in BLOCKS:
+                self.blocks.pop()
+        if self.sealed is not None and self.sealed >= len(self.open):
+            self.sealed = None
+
+    def _close(self, closed: Iterable[str], within: Iterable[str]) -> None:
+        """Close the innermost of some elements, unless it lies outside another one or what is left out."""
+        at = self._last(closed)
+        if at > 0 and at > self._last(within) and (self.sealed is None or at > self.sealed):
+            self._cut(at)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in ("html", "body") and (tag == "html" or self._within({"body"})):
+        if tag in ("html", "body") and (tag == "html" or self.places.get("body")):
             return
         if tag in BLOCKS:
-            self._close({"p"}, {"table", "td", "th", "button", "object"})
+            self._close(("p",), ("table", "td", "th", "button", "object"))
         if tag == "body":
-            del self.open[1:]
+            self._cut(1)
         if tag in CLOSES:
             self._close(*CLOSES[tag])
         names = self._names(tag, attrs)
@@ -131,27 +155,27 @@ class Tree(HTMLParser):
         self.open[-1].children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._push(node)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         # A slash closes nothing in HTML but in foreign elements.
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self._within({"svg", "math"}):
+        if tag not in VOID and self._last(("svg", "math")) >= 0:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if tag not in BLOCKS and self.open[i].tag in BLOCKS:
-                return  # an inline end tag closes nothing outside its block
+        at = self._last((tag,))
+        if at < 1 or tag not in BLOCKS and self.blocks[-1] > at and at != self.sealed:
+            return  # an inline end tag closes nothing outside its block, but what is left out
+        if self.sealed is not None and at < self.sealed and self.open[self.sealed].tag in SEALED:
+            return
+        self._cut(at)
 
     def handle_data(self, data: str) -> None:
         self.open[-1].children.append(data)
 
     def _no_article(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        if tag in DROPPED or tag in FRAME and not self._within({"article", "main"}):
+        if tag in DROPPED or tag in FRAME and self._last(WHOLE) < 0:
             return True
         for name, value in attrs:
             value = (value or "").lower()
@@ -173,7 +197,8 @@ class Tree(HTMLParser):
                 if not words <= NAMES | PARTS | LISTS:
                     continue
                 said = words & NAMES
-                if said and not (inside and said <= TOPICS and words.isdisjoint(LISTS)):
+                topic = inside and said <= TOPICS and words.isdisjoint(LISTS)
+                if said and not (topic and (tag == "p" or tag == "section" and key == "id")):
                     found |= said
         return found
 
@@ -294,7 +319,13 @@ def _selected(body: Node) -> list[Node]:
             if node.rich is node:
                 covered.add(node)
     if best.whole is not None:
-        found = {node.whole for node in found if node.whole is not None}
+        found = {node.whole for node in found if node.whole is not None} | {best.whole}
+        up = best.whole.parent
+        while up is not None:
+            found.discard(up)
+            up = up.parent
+        inside = {node for node in _headings(body, found) if node.whole is not None}
+        found |= inside
     else:
         found = {node.whole or node for node in found}
         found |= _headings(body, found)
