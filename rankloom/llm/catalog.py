@@ -19,14 +19,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`language_id.held_out_languages` for nulls, ties, long texts and empty tables."""
     return language_id.held_out_languages(_table(spark, sf_dir, "documents"))
 
 
 def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`token_counts.token_counts` for nulls, ties, long texts and empty tables."""
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back; see :func:`warc.write_warc` and :func:`warc.read_warc`.
+
+    The archives stay in the scratch folder, as the result reads them.
+    """
     path = scratch_path(spark, "archive")
     warc.write_warc(_table(spark, sf_dir, "pages"), path)
     return warc.records(warc.read_warc(spark, path)).select(
@@ -35,10 +41,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`quality.quality` for nulls, ties, long texts and empty tables."""
     return quality.quality(_table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`chat.chat_digest`; a null text is empty, and an empty table leaves conversation -7."""
     tricky = r"\### Assistant: </turn> ok"
     fixed = spark.createDataFrame(
         [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
@@ -48,23 +56,28 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonyms(_table(spark, sf_dir, "documents"))
+    """See :func:`pii.pseudonyms` for nulls, ties, long texts and empty tables."""
+    return pii.pseudonyms(_table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`near_dup.near_duplicates` for nulls, ties, long texts and empty tables."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`mixing.mixture` for nulls, ties, long texts and empty tables."""
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`decontaminate.verdicts` for nulls, ties, long texts and empty tables."""
     documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.with_verdict(decontaminate.verdicts(documents, benchmark))
 
 
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """See :func:`html_text.extract` for nulls, ties, long texts and empty tables."""
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 

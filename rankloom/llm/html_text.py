@@ -112,7 +112,11 @@ class Tree(HTMLParser):
 
     def _last(self, tags: Iterable[str]) -> int:
         """The innermost open element of some tags; -1 if there is none."""
-        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+        last, places = -1, self.places
+        for tag in tags:
+            if tag in places and places[tag] and places[tag][-1] > last:
+                last = places[tag][-1]
+        return last
 
     def _push(self, node: Node) -> None:
         self.places.setdefault(node.tag, []).append(len(self.open))
@@ -141,7 +145,7 @@ class Tree(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("html", "body") and (tag == "html" or self.places.get("body")):
             return
-        if tag in BLOCKS:
+        if tag in BLOCKS and self.places.get("p"):
             self._close(("p",), ("table", "td", "th", "button", "object"))
         if tag == "body":
             self._cut(1)
@@ -164,7 +168,8 @@ class Tree(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        at = self._last((tag,))
+        places = self.places.get(tag)
+        at = places[-1] if places else -1
         if at < 1 or tag not in BLOCKS and self.blocks[-1] > at and at != self.sealed:
             return  # an inline end tag closes nothing outside its block, but what is left out
         if self.sealed is not None and at < self.sealed and self.open[self.sealed].tag in SEALED:

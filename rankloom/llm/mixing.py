@@ -136,10 +136,13 @@ def mixture(docs: DataFrame, **mix) -> DataFrame:
 def mixed(docs: DataFrame, **mix) -> DataFrame:
     """The mixture itself: all columns of ``docs``, one row for each time a document is taken.
 
-    Adds ``round`` (from 1) and ``words``, the words taken in that round; the text of a document
-    that the budget cuts ends with its last taken word. Documents that are not taken are left out.
+    Adds ``round`` (from 1) and ``words``, the words taken in that round; where ``docs`` has a column of that name, the
+    added one gets a number behind its name. The text of a document that the budget cuts ends with its last taken word.
+    Documents that are not taken, null and blank texts among them, are left out. Repeated rows are taken each on its
+    own; empty tables give no rows.
     """
     names = docs.columns
+    added = [_free_name(name, names) for name in ("round", "words")]
     at = {name: f"c{names.index(name)}" for name in ("doc_id", "text", "source")}
     rows = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumns(
         {name: F.col(column) for name, column in at.items()}
@@ -152,10 +155,20 @@ def mixed(docs: DataFrame, **mix) -> DataFrame:
     words = F.when(whole, F.col("size")).otherwise(F.col("extra"))
     text = F.when(whole, F.col("text")).otherwise(_first_words(F.col("text"), F.col("extra")))
     return found.withColumn("words", words).withColumn(at["text"], text).select(
-        *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)], "round", "words"
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(names)],
+        *[F.col(name).alias(free) for name, free in zip(("round", "words"), added)],
     )
 
 
+def _free_name(name: str, names: list[str]) -> str:
+    """``name``, or the first of ``name_2``, ``name_3``, ... that no column has; case does not tell columns apart."""
+    taken, free, number = {n.lower() for n in names}, name, 1
+    while free in taken:
+        number += 1
+        free = f"{name}_{number}"
+    return free
+
+
 def _first_words(text: Column, count: Column) -> Column:
     """A text up to its ``count``-th word."""
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))

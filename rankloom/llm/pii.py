@@ -6,7 +6,8 @@ another valid card number, a date another date of its century, letters stay lett
 digits. The same value has the same pseudonym in every document, so links between documents stay;
 whoever has the key can go back. Rows are independent: there is no table of values and no shuffle.
 
-The key is a parameter; use one of your own and keep it secret.
+The key is a parameter without a default: whoever knows it can go back. :func:`session_key` takes it from the session's
+settings. Equal values have equal pseudonyms in every document; a date in two notations is two values.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ import datetime
 import hashlib
 import math
 import re
+import secrets
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -31,7 +33,9 @@ DIGITS = "0123456789"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 HEX = DIGITS + "abcdef"
 
-EXAMPLE_KEY = b"an example key; use your own"
+#: The session's setting with the key, as text.
+KEY_SETTING = "spark.rankloom.pseudonym.key"
+_drawn: dict[str, bytes] = {}
 
 _PATTERN = re.compile(
     r"""
@@ -359,19 +363,34 @@ def pseudonymized(text: str, permute: Permute, found: Counter | None = None) ->
     return "".join([*out, text[at:]])
 
 
-def pseudonymize(docs: DataFrame, key: bytes = EXAMPLE_KEY, inverse: bool = False) -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key in ``spark.rankloom.pseudonym.key``; where it is unset, a random one, the same for the whole application.
+
+    With a random key values stay linked within the application, nobody can go back, and another run
+    gives other pseudonyms.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    if key:
+        return key.encode()
+    return _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
+def pseudonymize(docs: DataFrame, key: bytes, inverse: bool = False) -> DataFrame:
     """``docs (doc_id, text, ...)`` with personal data in ``text`` replaced; all columns and rows stay.
 
     A null text stays null and an empty one empty; what fails validation (a card number with a wrong
     check digit, a date that is none) stays as it is; valid cards and IBANs are found beside short numbers
-    and words that could be parts of them. Repeated rows get equal results. ``inverse``
-    goes back with the same key.
+    and words that could be parts of them. Repeated rows get equal results, long texts go through whole, and an
+    empty table stays empty. ``inverse`` goes back with the same key.
     """
     return _replaced(docs, key, inverse, False)
 
 
-def pseudonyms(docs: DataFrame, key: bytes = EXAMPLE_KEY) -> DataFrame:
-    """``(doc_id, text, n_email, n_secret, ...)``: the new texts, and how many of each kind were replaced."""
+def pseudonyms(docs: DataFrame, key: bytes) -> DataFrame:
+    """``(doc_id, text, n_email, n_secret, ...)``: the new texts, and how many of each kind were replaced.
+
+    A row for every row of ``docs``, see :func:`pseudonymize`; other columns are ignored.
+    """
     return _replaced(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), key, False, True)
 
 

@@ -12,6 +12,7 @@ as a quarantined gap. Files are read one per row; the writer bounds their size.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import zlib
@@ -35,8 +36,8 @@ MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 32 << 20
 
 RECORDS = (
-    "file string, offset long, length long, problem string, page_id long, uri string, record_type string, "
-    "refers_to long, payload_bytes long, payload_digest string, payload binary"
+    "file string, offset long, length long, problem string, record_id string, page_id long, uri string, "
+    "record_type string, refers_to_id string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 )
 
 
@@ -121,6 +122,25 @@ def write_warc(pages: DataFrame, path: str, compress: bool = True) -> None:
 _HEADER = re.compile(rb"WARC/1\.[01]\r\n((?:[^\r\n]+\r\n)+)\r\n")
 
 
+#: Digests that the reader checks; archives write them in hex or in base 32.
+DIGESTS = frozenset("md5 sha1 sha256 sha512".split())
+
+
+def _number(text: str) -> int | None:
+    """A whole number in plain digits that fits 64 bits."""
+    return int(text) if re.fullmatch(r"[0-9]{1,18}", text) else None
+
+
+def _agrees(digest: str, block: bytes) -> bool:
+    """Whether a block has its digest; digests of an unknown kind say nothing."""
+    kind, _, value = digest.partition(":")
+    kind, value = kind.strip().lower().replace("-", ""), value.strip()
+    if kind not in DIGESTS or not value:
+        return True
+    found = hashlib.new(kind, block).digest()
+    return value.lower() == found.hex() or value.upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
+
+
 def _parsed(data: bytes, at: int, last: bool) -> tuple[int, dict | None, bytes, str]:
     """``(end, fields, block, problem)`` of the record at ``at``; ``last`` if nothing may follow it."""
     match = _HEADER.match(data, at)
@@ -130,14 +150,14 @@ def _parsed(data: bytes, at: int, last: bool) -> tuple[int, dict | None, bytes,
     for line in match.group(1).split(b"\r\n"):
         name, _, value = line.decode("utf-8", "replace").partition(":")
         fields[name.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdigit():
+    size = _number(fields.get("content-length", ""))
+    if size is None:
         return at, None, b"", "no content length"
-    end = match.end() + int(fields["content-length"])
+    end = match.end() + size
     if end + len(END) > len(data) or data[end : end + len(END)] != END:
         return at, None, b"", "wrong length"
     block = data[match.end() : end]
-    digest = fields.get("warc-block-digest", "")
-    if digest.startswith("sha256:") and digest[7:] != hashlib.sha256(block).hexdigest():
+    if not _agrees(fields.get("warc-block-digest", ""), block):
         return at, None, b"", "wrong block digest"
     if last and end + len(END) != len(data):
         return at, None, b"", "bytes behind the record"
@@ -216,8 +236,13 @@ def salvage(data: bytes, packed: bool | None = None) -> Iterator[tuple[int, int,
 
 
 def _page(text: str) -> int | None:
-    found = re.fullmatch(r"<urn:page:(-?\d+)>", text)
-    return int(found.group(1)) if found else None
+    found = re.fullmatch(r"<urn:page:(-?[0-9]{1,19})>", text)
+    return int(found.group(1)) if found and -(1 << 63) <= int(found.group(1)) < 1 << 63 else None
+
+
+def _identity(text: str | None) -> str | None:
+    """A record's id, of whatever kind, without its brackets."""
+    return text.removeprefix("<").removesuffix(">") if text else None
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -225,13 +250,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     ``problem`` is null for a record. For a gap it has the failed check, and ``offset`` and ``length``
     the quarantined bytes. A revisit has no payload; its ``payload_bytes`` and ``payload_digest`` are
-    those of the page it refers to. Files whose names begin with an underscore or a point are not of
+    those of the page it refers to, null where the record does not say them. ``record_id`` and ``refers_to_id`` are ids of any
+    kind; ``page_id`` and ``refers_to`` are null for ids that :func:`write_warc` did not write. No bytes make the reader fail:
+    a header that is none, a length that is no number and a digest that disagrees are gaps. Files whose names begin with an underscore or a point are not of
     the archive. An empty folder gives no rows.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("problem", pa.string()),
-                 ("page_id", pa.int64()), ("uri", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()),
+                 ("record_id", pa.string()), ("page_id", pa.int64()), ("uri", pa.string()), ("record_type", pa.string()),
+                 ("refers_to_id", pa.string()), ("refers_to", pa.int64()),
                  ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
         schema = pa.schema(types)
 
@@ -245,15 +273,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 rows, held = [], 0
                 for offset, length, fields, block, problem in salvage(content.as_py()):
                     if fields is None:
-                        rows.append((name.as_py(), offset, length, problem, *[None] * 7))
+                        rows.append((name.as_py(), offset, length, problem, *[None] * 9))
                     else:
                         revisit = fields.get("warc-type") == "revisit"
-                        size = int(fields.get("x-payload-length", len(block))) if revisit else len(block)
-                        digest = fields.get("warc-payload-digest", "").removeprefix("sha256:")
+                        size = _number(fields.get("x-payload-length", "")) if revisit else len(block)
+                        digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
+                        own, other = fields.get("warc-record-id", ""), fields.get("warc-refers-to", "")
                         rows.append((
-                            name.as_py(), offset, length, None, _page(fields.get("warc-record-id", "")),
-                            fields.get("warc-target-uri"), fields.get("warc-type"), _page(fields.get("warc-refers-to", "")),
-                            size, digest if revisit else hashlib.sha256(block).hexdigest(), None if revisit else block,
+                            name.as_py(), offset, length, None, _identity(own), _page(own), fields.get("warc-target-uri"),
+                            fields.get("warc-type"), _identity(other), _page(other), size,
+                            digest if revisit else hashlib.sha256(block).hexdigest(), None if revisit else block,
                         ))
                     held += len(block)
                     if held > 4 << 20 or len(rows) >= 2000:

@@ -268,10 +268,10 @@ def test_pseudonyms_keep_format_and_go_back(docs, edge_rows):
     datetime.date.fromisoformat(parts[6])
     assert pii._remainder("".join(parts[-9:-3])) == 1
     assert all(a != b for a, b in zip(parts[6:10], plain[6:10]))
-    again = pii.pseudonyms(docs("mail bob.s@mail7.example.com", "to bob.s@mail7.example.com!")).collect()
+    again = pii.pseudonyms(docs("mail bob.s@mail7.example.com", "to bob.s@mail7.example.com!"), b"k").collect()
     assert again[0].text.split()[1] == again[1].text.split()[1].rstrip("!") and again[0].n_email == 1
-    assert [r.text for r in pii.pseudonymize(edge_rows).collect()] == [r.text for r in edge_rows.collect()]
-    assert pii.pseudonymize(docs("x")).columns == docs("x").columns
+    assert [r.text for r in pii.pseudonymize(edge_rows, b"k").collect()] == [r.text for r in edge_rows.collect()]
+    assert pii.pseudonymize(docs("x"), b"k").columns == docs("x").columns
 
 
 def test_cards_and_ibans_are_found_beside_short_tokens():
