@@ -7,8 +7,9 @@ at once. Only suffixes that still match go on, so a clean shard costs little mor
 There is no shuffle: the benchmark comes to the documents.
 
 The benchmark is a stated query set. It is cut into blocks of at most ``BLOCK_WORDS`` words; each
-block is one broadcast of bounded size, and a shard is searched for one block after another, so any
-benchmark can be used in one pass over the documents.
+block is one broadcast of bounded size, and a shard is searched for one block after another. A worker holds one
+block at a time: with several blocks it reads each again, from its machine's copy, for every shard. Windows that
+several items share are searched once, and their items are named per document, not per occurrence.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from rankloom.llm.wordhash import BY_LETTER, word_groups
+from rankloom.llm.wordhash import BY_LETTER, mixed, word_groups
 
 # Words in a window; a document is contaminated from one hit word in so many.
 WINDOW = 13
@@ -30,8 +31,10 @@ HIT_SHARE = 20
 
 #: Bytes of text in a shard (a longer document is a shard of its own).
 SHARD_BYTES = 4 << 20
-#: Words of benchmark items in one broadcast block: 16 MB of hashes.
-BLOCK_WORDS = 2_000_000
+#: Words of benchmark items in one broadcast block, of some 30 bytes each.
+BLOCK_WORDS = 500_000
+#: Pairs of a document and an item that are put together at a time.
+PAIRS = 1_000_000
 
 VERDICTS = "doc_id long, n_words long, n_hit long, items array<string>"
 MATCHES = "doc_id long, item_id long, doc_word long, item_word long, n_words long"
@@ -49,11 +52,39 @@ class Block:
         # A window starts at each word that has enough words after it; a short item is one window.
         lengths = np.minimum(window, sizes)
         counts = np.where(sizes > 0, sizes - lengths + 1, 0)
-        self.item = np.repeat(np.arange(len(items)), counts)
+        item = np.repeat(np.arange(len(items)), counts)
         within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        self.start = np.repeat(begins, counts) + within
-        self.within = within
-        self.length = np.repeat(lengths, counts)
+        start, length = np.repeat(begins, counts) + within, np.repeat(lengths, counts)
+        order, heads = _equal_windows(self.words, start, length, window)
+        #: All windows, equal ones next to each other, with their items and first words; where each distinct one begins.
+        self.item, self.within = item[order].astype(np.int32), within[order].astype(np.int32)
+        self.offsets = np.append(heads, len(order)).astype(np.int64)
+        #: The distinct windows.
+        self.start, self.length = start[order[heads]], length[order[heads]]
+
+    def expanded(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among all windows of some distinct ones, and of which one each is."""
+        counts = self.offsets[windows + 1] - self.offsets[windows]
+        which = np.repeat(np.arange(len(windows)), counts)
+        steps = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self.offsets[windows[which]] + steps, which
+
+
+def _equal_windows(words: np.ndarray, start: np.ndarray, length: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of windows in which equal ones are neighbours, and the places where another one begins."""
+    hashes = length.astype(np.uint64)
+    for step in range(window):
+        inside = length > step
+        hashes[inside] = mixed(hashes[inside] * np.uint64(0x9E3779B97F4A7C15) + words[start[inside] + step])
+    order = np.argsort(hashes, kind="stable")
+    # Equal hashes are compared word by word, so different windows are never one.
+    other = np.ones(len(order), dtype=bool)
+    one, two = order[:-1], order[1:]
+    other[1:] = length[one] != length[two]
+    for step in range(window):
+        near = np.flatnonzero(~other[1:] & (length[one] > step))
+        other[1 + near] = words[start[one[near]] + step] != words[start[two[near]] + step]
+    return order, np.flatnonzero(other)
 
 
 def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
@@ -108,7 +139,7 @@ class Shard:
         self.first = text[self.order]
 
     def search(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """``(window, position)`` of every occurrence of a window of the block."""
+        """``(window, position)`` of every occurrence of a distinct window of the block."""
         word = block.words[block.start]
         lo = np.searchsorted(self.first, word, "left")
         hi = np.searchsorted(self.first, word, "right")
@@ -173,23 +204,58 @@ def _shards(batch: pa.RecordBatch, window: int) -> Iterator[tuple[int, Shard]]:
         yield first, Shard(words, bounds, window)
 
 
-def _judged(shard: Shard, blocks: list[Broadcast]) -> tuple[np.ndarray, list[list[str]]]:
-    """Hit words and the items with an occurring window, for each document of a shard."""
-    change = np.zeros(shard.size + 1, dtype=np.int64)
-    docs = len(shard.begins)
-    items: list[list[str]] = [[] for _ in range(docs)]
+def _each(blocks: list[Broadcast]) -> Iterator[Block]:
+    """One block after the other; where there are several, a worker keeps none of them."""
     for broadcast in blocks:
-        block = broadcast.value
+        yield broadcast.value
+        if len(blocks) > 1:
+            vars(broadcast).pop("_value", None)
+
+
+def _judged(shard: Shard, blocks: list[Broadcast]) -> tuple[np.ndarray, list[tuple[np.ndarray, list[np.ndarray]]]]:
+    """Hit words of each document of a shard; for each block documents and the items of a window in them."""
+    change = np.zeros(shard.size + 1, dtype=np.int64)
+    found = []
+    for block in _each(blocks):
         windows, positions = shard.search(block)
-        if not len(windows):
-            continue
-        np.add.at(change, positions, 1)
-        np.add.at(change, positions + block.length[windows], -1)
-        pairs = np.unique(shard.document(positions) * len(block.ids) + block.item[windows])
-        for doc, item in zip(pairs // len(block.ids), pairs % len(block.ids)):
-            items[doc].append(str(block.ids[item]))
+        if len(windows):
+            np.add.at(change, positions, 1)
+            np.add.at(change, positions + block.length[windows], -1)
+            pairs = np.unique(shard.document(positions) * len(block.start) + windows)
+            found.append((pairs // len(block.start), _items(block, pairs % len(block.start))))
+        del block
     hits = np.concatenate(([0], np.cumsum(np.cumsum(change[:-1]) > 0)))
-    return hits[shard.begins + shard.sizes] - hits[shard.begins], items
+    return hits[shard.begins + shard.sizes] - hits[shard.begins], found
+
+
+def _items(block: Block, windows: np.ndarray) -> list[np.ndarray]:
+    """The item ids of some distinct windows; an array per distinct one, shared by its occurrences."""
+    distinct, back = np.unique(windows, return_inverse=True)
+    ids = [np.unique(block.ids[block.item[block.offsets[w] : block.offsets[w + 1]]]) for w in distinct]
+    return [ids[i] for i in back]
+
+
+def _item_lists(docs: int, found: list[tuple[np.ndarray, list[np.ndarray]]]) -> Iterator[pa.Array]:
+    """Sorted distinct item ids as strings of document after document, some ``PAIRS`` at a time."""
+    of: list[list[np.ndarray]] = [[] for _ in range(docs)]
+    for documents, items in found:
+        for doc, ids in zip(documents, items):
+            of[doc].append(ids)
+    lists, held = [], 0
+    known: dict[tuple[int, ...], list[str]] = {}  # documents with the same windows have the same items
+    for own in of:
+        which = tuple(map(id, own))
+        if which not in known:
+            known = known if len(known) < 1000 else {}
+            ids = np.unique(np.concatenate(own)) if own else np.zeros(0, dtype=np.int64)
+            known[which] = sorted(map(str, ids))
+        lists.append(known[which])
+        held += len(lists[-1])
+        if held >= PAIRS:
+            yield pa.array(lists, pa.list_(pa.string()))
+            lists, held = [], 0
+    if lists:
+        yield pa.array(lists, pa.list_(pa.string()))
 
 
 def verdicts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -206,16 +272,20 @@ def verdicts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Dat
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, shard in _shards(batch, window):
-                n_hit, items = _judged(shard, blocks)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(first, len(items)),
-                        pa.array(shard.sizes, pa.int64()),
-                        pa.array(n_hit, pa.int64()),
-                        pa.array([sorted(set(found)) for found in items], pa.list_(pa.string())),
-                    ],
-                    ["doc_id", "n_words", "n_hit", "items"],
-                )
+                n_hit, found = _judged(shard, blocks)
+                at = 0
+                for items in _item_lists(len(n_hit), found):
+                    end = at + len(items)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").slice(first + at, len(items)),
+                            pa.array(shard.sizes[at:end], pa.int64()),
+                            pa.array(n_hit[at:end], pa.int64()),
+                            items,
+                        ],
+                        ["doc_id", "n_words", "n_hit", "items"],
+                    )
+                    at = end
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(judge, VERDICTS)
 
@@ -245,12 +315,13 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
         for batch in batches:
             ids = batch.column("doc_id")
             for first, shard in _shards(batch, window):
-                for broadcast in blocks:
-                    block = broadcast.value
+                for block in _each(blocks):
                     windows, positions = shard.search(block)
                     if not len(windows):
                         continue
-                    doc, item, within = shard.document(positions), block.item[windows], block.within[windows]
+                    places, which = block.expanded(windows)
+                    windows, positions = windows[which], positions[which]
+                    doc, item, within = shard.document(positions), block.item[places], block.within[places].astype(np.int64)
                     order = np.lexsort((positions, positions - within, item, doc))
                     doc, item, within = doc[order], item[order], within[order]
                     at, length = positions[order] - shard.begins[doc], block.length[windows[order]]

@@ -33,9 +33,10 @@ COMMON_WORDS = {
 }
 VOCABULARY = tuple(sorted({word for words in COMMON_WORDS.values() for word in words}))
 
-#: Words from which a text is long enough to compare, and the largest distances of a kept text.
+#: Words from which a text is long enough to compare, and the largest distances of a kept text. The distance of classes
+#: has a long gap in its distribution: nine of ten texts lie below 0.1, and 0.17 is 1.75 times that.
 COMPARED_WORDS = 100
-FAR_CLASSES = 0.25
+FAR_CLASSES = 0.17
 FAR_WORDS = 0.4
 
 CLASSES = ("lower", "upper", "digit", "space", "punctuation", "other")
@@ -186,7 +187,8 @@ def quality(docs: DataFrame) -> DataFrame:
     ``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     class_distance, word_distance)``. A null or empty text has no words and fails the base rules. A
     null or unknown lang adds to no reference; where no language has one, nothing is far. Repeated
-    rows and null ids are rows like others; other columns are ignored.
+    rows and null ids are rows like others; texts go through whole, other columns are ignored, and an empty table gives
+    no rows.
     """
     rows = _read(docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")), "text").drop("text")
     rows = _with_counts(_with_histograms(rows)).drop("whole", "words")
