@@ -99,9 +99,9 @@ def test_add_documents_equals_one_build(spark, docs):
 @pytest.mark.parametrize("min_df", [0, 1, 2, 5])
 def test_a_grown_index_equals_one_build_at_every_cut(spark, sf_dir, folder, min_df):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    whole = build_index(docs, min_df=min_df)
+    whole = build_index(docs, min_df=min_df, buckets=8)
     grown = save_index(
-        add_documents(build_index(docs.where("doc_id % 3 = 0"), min_df=min_df), docs.where("doc_id % 3 <> 0")),
+        add_documents(build_index(docs.where("doc_id % 3 = 0"), min_df=min_df, buckets=8), docs.where("doc_id % 3 <> 0")),
         f"{folder}/grown-{min_df}",
     )
     for name in ("term_stats", "postings", "doc_lengths", "corpus_stats"):
