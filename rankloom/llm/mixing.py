@@ -2,10 +2,10 @@
 
 Every document has a hash key, which is a random but repeatable order. The key space is cut into
 ranges; as keys are even, so are the ranges, without sampling. Sizes are summed per source and
-range, and prefix sums over the ranges of a source tell which ranges lie wholly before its budget,
-wholly behind it, or across it. Only rows of ranges across a budget are sorted, one range per
-source. So a source with a third of all rows is as wide as its ranges, and the texts themselves are not
-shuffled.
+range, and prefix sums over the ranges of a source tell in which range its budget ends. That makes one
+row per source: a document in an earlier range is taken, one in a later range is not, and only rows of
+the range itself are sorted, one range per source. So a source with a third of all rows is as wide as its
+ranges, and the texts themselves are not shuffled.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.durable import materialize
+from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join
 
 # Words, weights by the order of the sources, share of all words to take, and how
 # often a document may be taken.
@@ -25,15 +26,17 @@ EPOCHS = 2
 #: Key ranges of a source: the first three hexadecimal digits of the key.
 RANGE_DIGITS = 3
 
-#: Rows of the range decisions that may be broadcast, of some 60 bytes each.
-BROADCAST_RANGES = 1_000_000
+
+def _size() -> Column:
+    """Words of a text."""
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Add ``size`` (words), the hash ``key`` and its ``part``."""
-    return docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).withColumn(
-        "key", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    ).withColumn("part", F.substring("key", 1, RANGE_DIGITS))
+    """Add the hash ``key``, its ``part``, and ``of``, the source as a name that is never null."""
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    of = F.when(F.col("source").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("source")))
+    return docs.withColumn("key", key).withColumn("part", F.substring("key", 1, RANGE_DIGITS)).withColumn("of", of)
 
 
 def source_targets(
@@ -73,45 +76,51 @@ def source_targets(
 
 
 def _decisions(sizes: DataFrame, **mix) -> DataFrame:
-    """``(source, part, source_size, target, rounds, rest, before, here)``: what each range gives.
+    """``(of, source_size, target, rounds, rest, cut, before, n)``: one row for each source, written.
 
-    ``rounds`` is how often the whole source is taken, ``rest`` how many words of a last round, and
-    ``before`` how many words of the source lie in earlier ranges.
+    ``rounds`` is how often the whole source is taken, ``rest`` how many words of a last round, ``cut``
+    the range in which these end (null where they take all), ``before`` how many words lie in earlier ranges,
+    and ``n`` how many rows the source has.
     """
-    ranges = materialize(sizes.groupBy("source", "part").agg(F.sum("size").alias("here")), "ranges")
+    ranges = materialize(
+        sizes.groupBy("of", "source", "part").agg(F.sum("size").alias("here"), F.count("*").alias("rows")), "ranges"
+    )
     targets = source_targets(ranges.groupBy("source").agg(F.sum("here").alias("source_size")), **mix)
-    targets = targets.select(F.col("source").alias("of"), "source_size", "target")
-    in_order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    targets = targets.select(F.col("source").alias("name"), "source_size", "target")
+    in_order = Window.partitionBy("of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     budget = F.round("target").cast("long")
     rounds = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
-    return (
+    placed = (
         ranges.withColumn("before", F.coalesce(F.sum("here").over(in_order), F.lit(0)))
-        .join(targets, F.col("source").eqNullSafe(F.col("of")))
+        .join(targets, F.col("source").eqNullSafe(F.col("name")))
         .withColumn("rounds", rounds)
         .withColumn("rest", budget - F.col("rounds") * F.col("source_size"))
-        .select(F.col("source").alias("of"), F.col("part").alias("of_part"), "source_size", "target", "rounds",
-                "rest", "before", "here")
+    )
+    # The first range that is not taken whole; all before it are, none behind it.
+    end = F.min(F.when(F.col("before") + F.col("here") > F.col("rest"), F.struct("part", "before")))
+    by_source = placed.groupBy("of", "source_size", "target", "rounds", "rest").agg(end.alias("end"), F.sum("rows").alias("n"))
+    return materialize(
+        by_source.select("of", "source_size", "target", "rounds", "rest", F.col("end.part").alias("cut"), "end.before", "n"),
+        "decisions",
     )
 
 
-def _taken(rows: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Add ``source_size``, ``target``, ``rounds`` and ``extra``, the words of the last round."""
-    decisions = materialize(decisions, "decisions")
-    if decisions.count() <= BROADCAST_RANGES:
-        decisions = F.broadcast(decisions)
-    found = rows.join(decisions, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part")))
-    whole = (F.col("before") + F.col("here") <= F.col("rest")) | (F.col("before") >= F.col("rest"))
-    settled = found.where(whole).withColumn(
-        "extra", F.when(F.col("before") < F.col("rest"), F.col("size")).otherwise(F.lit(0)).cast("long")
-    )
-    in_range = (
-        Window.partitionBy("source", "part")
-        .orderBy("key", F.col("doc_id"), "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
+def _taken(rows: DataFrame, decisions: DataFrame, size: Column) -> DataFrame:
+    """Add the row of each source, ``size``, and ``extra``, the words of the last round."""
+    told = decisions.drop("n")
+    if fits_broadcast(told):
+        found = rows.join(F.broadcast(told), "of")
+    else:
+        found = salted_join(rows, told, "of", hot_keys(decisions, "of", "n"), ["key"])
+    across = F.coalesce(F.col("part") == F.col("cut"), F.lit(False))
+    earlier = F.coalesce(F.col("part") < F.col("cut"), F.lit(True))
+    settled = found.where(~across).withColumn("size", size).withColumn(
+        "extra", F.when(earlier, F.col("size")).otherwise(F.lit(0)).cast("long")
     )
+    in_range = Window.partitionBy("of").orderBy("key", F.col("doc_id"), "size").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(in_range), F.lit(0))
-    cut = found.where(~whole).withColumn("extra", F.least(F.greatest(left, F.lit(0)), F.col("size")))
-    return settled.unionByName(cut)
+    last = found.where(across).withColumn("size", size)
+    return settled.unionByName(last.withColumn("extra", F.least(F.greatest(left, F.lit(0)), F.col("size"))))
 
 
 def mixture(docs: DataFrame, **mix) -> DataFrame:
@@ -126,9 +135,9 @@ def mixture(docs: DataFrame, **mix) -> DataFrame:
     two that agree in id and size is cut does not show. Empty tables give no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("source").cast("string"))
-    sizes = materialize(_keyed(rows).drop("text"), "sizes")
+    sizes = materialize(_keyed(rows).withColumn("size", _size()).drop("text"), "sizes")
     taken = F.col("rounds") * F.col("size") + F.col("extra")
-    return _taken(sizes, _decisions(sizes, **mix)).select(
+    return _taken(sizes, _decisions(sizes, **mix), F.col("size")).select(
         "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken")
     )
 
@@ -148,7 +157,9 @@ def mixed(docs: DataFrame, **mix) -> DataFrame:
         {name: F.col(column) for name, column in at.items()}
     )
     rows = _keyed(rows)
-    found = _taken(rows, _decisions(rows.select("source", "part", "size"), **mix))
+    # Sizes are counted again behind the join, where each row is in one of two parts only.
+    sizes = rows.select("of", "source", "part", _size().alias("size"))
+    found = _taken(rows, _decisions(sizes, **mix), _size())
     again = F.col("rounds").cast("int") + F.when(F.col("extra") > 0, 1).otherwise(0)
     found = found.where((F.col("size") > 0) & (again > 0)).withColumn("round", F.explode(F.sequence(F.lit(1), again)))
     whole = (F.col("round") <= F.col("rounds")) | (F.col("extra") == F.col("size"))
