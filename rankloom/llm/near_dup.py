@@ -9,10 +9,12 @@ coordinate-value pairs. Two classes with at least ``MATCHES`` equal coordinates
   are posted, so pairs that half the corpus shares are seldom posted at all;
 * merge: the collisions of a candidate pair are counted on the signatures packed to 4 bits per
   coordinate, inside the join (a packed count is never below the true one);
-* skip: in a few turns each posting list is compared with one member only, its head, and a class
-  is confirmed with its best heads. Classes that are connected by then need no further comparison,
-  so the last pass compares across components only, with a prefix filter on the full sets that is
-  exact. A group of copies costs its size, not its square, and no link is lost.
+* skip: in turns each posting list is compared with one member only, its head, and a class
+  is confirmed with its best heads, until a turn links hardly any classes. Classes that are connected by then
+  need no further comparison, so the last pass compares across components only, with a prefix filter on the full
+  sets that is exact. A group of copies costs its size, not its square, and no link is lost.
+
+Pairs, shingles, heads and components that very many classes have are split over tasks by their known counts.
 
 A class is named by a 64-bit hash of its set, its node. Candidates above the threshold are confirmed
 on their full shingle sets. At a similarity of 0.75 a pair has 48 matches of 64 on average with a
@@ -29,10 +31,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from rankloom.durable import materialize
+from rankloom.durable import Scratch, materialize
 from rankloom.llm.components import connected_components
+from rankloom.llm.splits import split_join, split_keys
 from rankloom.llm.wordhash import BY_SPACE, mixed, word_groups
-from rankloom.operators.skew import hot_keys, salted_join
 
 # Words in a shingle, and the similarity (in hundredths) from which texts are linked.
 SHINGLE = 5
@@ -43,10 +45,17 @@ COORDINATES = 64
 MATCHES = 30
 PREFIX = COORDINATES - MATCHES + 1
 
-#: Turns of comparing with the heads of lists, and heads that a class is confirmed with in a turn.
-TURNS = 3
+#: Turns of comparing with the heads of lists go on while a turn links more than one in FEW of the posted classes.
+#: They decide only how much is left to the last pass, which is exact after any number of them.
+FEW = 200
+#: Heads that a class is confirmed with in a turn.
 HEADS = 3
 
+#: Pairs of one class from which on they are confirmed in several tasks, as each carries two full sets.
+HOT_PAIRS = 20_000
+#: Classes open to the last pass that may share a shingle in one task, as they are compared with each other there.
+HOT_OPEN = 20_000
+
 #: Bytes of text hashed together.
 GROUP_BYTES = 1 << 20
 
@@ -145,32 +154,32 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([_signed(_sums(shingles, bounds)), lists], ["node", "shingles"])
 
 
-def _matches(left: str, right: str) -> Column:
-    """Equal 4-bit coordinates of two packed signatures: the zero nibbles of their difference."""
+def _matches() -> Column:
+    """Equal 4-bit coordinates of a class's packed signature and its head's: the zero nibbles of their difference."""
     unequal = []
     for lane in _LANES:
-        x = F.col(f"{left}.{lane}").bitwiseXOR(F.col(f"{right}.{lane}"))
+        x = F.col(lane).bitwiseXOR(F.col(f"head_{lane}"))
         folded = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         folded = folded.bitwiseOR(F.shiftrightunsigned(folded, 2))
         unequal.append(F.bit_count(folded.bitwiseAND(F.lit(0x1111111111111111))))
     return F.lit(COORDINATES) - sum(unequal[1:], unequal[0])
 
 
-def _may_link(left: str, right: str) -> Column:
-    """Set sizes that allow the similarity, and enough collisions."""
-    a, b = F.col(f"{left}.n_shingles"), F.col(f"{right}.n_shingles")
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR) & (_matches(left, right) >= MATCHES)
+def _may_link() -> Column:
+    """Set sizes of a class and its head that allow the similarity, and enough collisions."""
+    a, b = F.col("n_shingles"), F.col("head_n_shingles")
+    return (F.least(a, b) * 100 >= F.greatest(a, b) * SIMILAR) & (_matches() >= MATCHES)
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
     """``(token, node, n_shingles, lanes)``: classes under the rare prefix of their pairs.
 
     Pairs of a single class take their place in the order, and are dropped then.
     """
     tokens = classes.select("node", F.explode("tokens").alias("token"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    shared = scratch.table(tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     by_class = (
-        tokens.join(shared, "token")
+        split_join(tokens, shared, "token", split_keys(shared, "token", "n"), ["node"])
         .groupBy("node")
         .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("common"))  # at most 64
     )
@@ -183,32 +192,33 @@ def _postings(classes: DataFrame) -> DataFrame:
 def _with_labels(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``label``, the component of each posted class, and ``weight``, how many linked classes it has."""
     sizes = labels.groupBy("component").agg(F.count("*").alias("weight"))
-    known = labels.join(sizes, "component").select("node", F.col("component").alias("label"), "weight")
+    known = split_join(labels, sizes, "component", split_keys(sizes, "component", "weight"), ["node"])
+    known = known.select("node", F.col("component").alias("label"), "weight")
     return postings.join(known, "node", "left").withColumns(
         {"label": F.coalesce("label", "node"), "weight": F.coalesce("weight", F.lit(1))}
     )
 
 
-def _star_pairs(labelled: DataFrame, turn: int) -> DataFrame:
+def _star_pairs(labelled: DataFrame, hot: DataFrame | None, turn: int) -> DataFrame:
     """``(a, b)``: classes with heads of their posting lists, those of most collisions first.
 
     The head of a list is a member of its largest component, drawn anew each turn. Members of
-    other components are compared with it, and each class keeps its ``HEADS`` best.
+    other components are compared with it, and each class keeps its ``HEADS`` best. ``hot (token, splits)`` are the
+    lists that are split.
     """
     member = F.struct("weight", F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n_shingles", "label", *_LANES)
     firsts = labelled.groupBy("token").agg(F.max(member).alias("head"), F.count("*").alias("n")).where("n > 1")
-    heads = firsts.select("token", "head.*").alias("p")
-    found = labelled.alias("q").join(
-        heads, (F.col("p.token") == F.col("q.token")) & (F.col("p.label") != F.col("q.label")) & _may_link("p", "q")
+    heads = firsts.select(
+        "token", *[F.col(f"head.{name}").alias(f"head_{name}") for name in ("node", "n_shingles", "label", *_LANES)]
     )
-    pairs = found.select(
-        F.col("p.node").alias("a"), F.col("q.node").alias("b"), _matches("p", "q").alias("matches")
-    ).distinct()
+    found = split_join(labelled.drop("weight"), heads, "token", hot, ["node"])
+    found = found.where((F.col("head_label") != F.col("label")) & _may_link())
+    pairs = found.select(F.col("head_node").alias("a"), F.col("node").alias("b"), _matches().alias("matches")).distinct()
     best = Window.partitionBy("b").orderBy(F.desc("matches"), "a")  # at most PREFIX heads of a class
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= HEADS).select("a", "b")
 
 
-def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """``(a, b)``: classes of different components that may be similar, by their full sets.
 
     Only classes in posting lists of several components are open still. Their sets are filtered
@@ -216,11 +226,12 @@ def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame) -> Da
     that what follows can make up the rest of the overlap.
     """
     lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = materialize(labelled.join(lists, "token").select("node", "label").distinct(), "open")
-    rows = _sets(open_, docs, classes).select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1")
+    open_ = scratch.table(labelled.join(lists, "token").select("node", "label").distinct(), "open")
+    rows = _sets(open_, docs, classes, scratch).select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    shared = scratch.table(rows.groupBy("shingle").agg(F.count("*").alias("m")).where("m > 1"), "shared")
+    hot = split_keys(shared, "shingle", "m", HOT_OPEN)
     by_class = (
-        rows.join(shared, "shingle")
+        split_join(rows, shared, "shingle", hot, ["node"])
         .groupBy("node", "n")
         .agg(F.sort_array(F.collect_list(F.struct("m", "shingle"))).alias("common"))
         .withColumn("alone", F.col("n") - F.size("common"))  # shingles of one class come first
@@ -233,21 +244,20 @@ def _cross_pairs(labelled: DataFrame, docs: DataFrame, classes: DataFrame) -> Da
         .select("node", "n", "pair.shingle", (F.col("alone") + F.col("at") + 1).alias("place"))
         .join(open_, "node")
     )
-    posted = materialize(posted, "posted")
+    posted = scratch.table(posted, "posted")
     # The smaller set of a pair needs fewer of its first shingles.
     fewer = F.floor(F.col("n") * (100 - SIMILAR) / (100 + SIMILAR)).cast("int") + 1
-    small, large = posted.where(F.col("place") <= fewer).alias("p"), posted.alias("q")
-    size_p, size_q = F.col("p.n"), F.col("q.n")
-    overlap = F.least(size_p - F.col("p.place"), size_q - F.col("q.place")) + 1
-    found = small.join(
-        large,
-        (F.col("p.shingle") == F.col("q.shingle"))
-        & (F.col("p.label") != F.col("q.label"))
-        & ((size_p < size_q) | ((size_p == size_q) & (F.col("p.node") < F.col("q.node"))))
+    small = posted.where(F.col("place") <= fewer).drop("alone")
+    large = posted.select("shingle", *[F.col(name).alias(f"large_{name}") for name in ("node", "n", "label", "place")])
+    size_p, size_q = F.col("n"), F.col("large_n")
+    overlap = F.least(size_p - F.col("place"), size_q - F.col("large_place")) + 1
+    found = split_join(small, large, "shingle", hot, ["node"]).where(
+        (F.col("label") != F.col("large_label"))
+        & ((size_p < size_q) | ((size_p == size_q) & (F.col("node") < F.col("large_node"))))
         & (size_p * 100 >= size_q * SIMILAR)
-        & (overlap * (100 + SIMILAR) >= (size_p + size_q) * SIMILAR),
+        & (overlap * (100 + SIMILAR) >= (size_p + size_q) * SIMILAR)
     )
-    return found.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+    return found.select(F.col("node").alias("a"), F.col("large_node").alias("b")).distinct()
 
 
 def _bounded_broadcast(ids: DataFrame) -> DataFrame:
@@ -255,61 +265,82 @@ def _bounded_broadcast(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """``(node, shingles)``: the full sets of classes, made again from one document of each."""
-    wanted = materialize(classes.select("node", "doc_id").join(nodes.select("node"), "node"), "wanted")
+    wanted = scratch.table(classes.select("node", "doc_id").join(nodes.select("node"), "node"), "wanted")
     ids = _bounded_broadcast(wanted.select(F.col("doc_id").alias("wanted_id")).distinct())
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     sets = texts.mapInArrow(_full_sets, "node long, shingles array<long>")
     # A row that shares the id but not the text has another node.
     sets = sets.join(wanted.select("node"), "node").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    return materialize(sets, "sets")
+    return scratch.table(sets, "sets")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """The written pairs ``(a, b)`` whose full shingle sets are similar enough."""
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = _sets(nodes, docs, classes)
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b"
-    )
+    sets = _sets(nodes, docs, classes, scratch)
+    both = pairs
+    for side, name in (("a", "x"), ("b", "y")):
+        of_side = sets.select(F.col("node").alias(side), F.col("shingles").alias(name))
+        hot = split_keys(pairs.groupBy(side).agg(F.count("*").alias("n")), side, "n", HOT_PAIRS)
+        both = split_join(both, of_side, side, hot, ["a", "b"])
     shared = both.select("a", "b", (F.size("x") + F.size("y")).alias("total"),
                          F.size(F.array_intersect("x", "y")).alias("shared"))
     # Equal to 100 * intersection >= 75 * union.
     return shared.where(F.col("shared") * (100 + SIMILAR) >= F.col("total") * SIMILAR).select("a", "b")
 
 
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Components of what was joined before and the new links."""
     known = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return materialize(connected_components(known.unionByName(links)), "labels")
+    return connected_components(known.unionByName(links), scratch)
+
+
+def _components(postings: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(node, component)`` of the linked classes."""
+    lengths = postings.groupBy("token").agg(F.count("*").alias("n"))
+    hot = split_keys(lengths, "token", "n")
+    posted = postings.select("node").distinct().count()
+    labels = postings.select("node", F.col("node").alias("component")).limit(0)
+    turn, linked = 0, posted
+    while linked * FEW > posted:
+        with Scratch(docs.sparkSession) as own:
+            pairs = own.table(_star_pairs(_with_labels(postings, labels), hot, turn), "pairs")
+            links = own.table(_confirmed(pairs, docs, classes, own), "confirmed")
+            linked = links.select("b").distinct().count()
+            labels = _joined(labels, links, scratch)
+        turn += 1
+    with Scratch(docs.sparkSession) as own:
+        crossing = own.table(_cross_pairs(_with_labels(postings, labels), docs, classes, own), "pairs")
+        return _joined(labels, _confirmed(crossing, docs, classes, own), scratch)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """``(doc_id, node, n_shingles, component_id, root)`` for every row of ``docs (doc_id, text)``."""
+    """``(doc_id, node, n_shingles, component_id, root)`` for every row of ``docs (doc_id, text)``, written."""
+    with Scratch(docs.sparkSession) as scratch:
+        return materialize(_grouped(docs, scratch), "groups")
+
+
+def _grouped(docs: DataFrame, scratch: Scratch) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    features = materialize(docs.mapInArrow(_features, FEATURES), "features")
+    features = scratch.table(docs.mapInArrow(_features, FEATURES), "features")
     one = [F.first(c).alias(c) for c in ("n_shingles", "tokens", *_LANES)]
-    classes = materialize(
+    classes = scratch.table(
         features.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), *one),
         "classes",
     )
-    postings = materialize(_postings(classes), "postings")
-    labels = postings.select("node", F.col("node").alias("component")).limit(0)
-    for turn in range(TURNS):
-        pairs = materialize(_star_pairs(_with_labels(postings, labels), turn), "pairs")
-        labels = _joined(labels, _confirmed(pairs, docs, classes))
-    crossing = materialize(_cross_pairs(_with_labels(postings, labels), docs, classes), "pairs")
-    labels = _joined(labels, _confirmed(crossing, docs, classes))
+    postings = scratch.table(_postings(classes, scratch), "postings")
+    labels = _components(postings, docs, classes, scratch)
 
     named = classes.select("node", "doc_id", "n").join(labels, "node", "left")
     named = named.select("node", "doc_id", "n", F.coalesce("component", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = salted_join(named, smallest, "root", hot_keys(named.groupBy("root").agg(F.count("*").alias("m")), "root", "m"), ["node"])
-    named = materialize(named, "named")
-    full = salted_join(
+    named = split_join(named, smallest, "root", split_keys(named.groupBy("root").agg(F.count("*").alias("m")), "root", "m"), ["node"])
+    named = scratch.table(named, "named")
+    full = split_join(
         features.where("n_shingles > 0").select("doc_id", "node", "n_shingles"),
-        named.select("node", "component_id", "root"), "node", hot_keys(named, "node", "n"), ["doc_id"],
+        named.select("node", "component_id", "root"), "node", split_keys(named, "node", "n"), ["doc_id"],
     ).select("doc_id", "node", "n_shingles", "component_id", "root")
     empty = features.where("n_shingles = 0").select(
         "doc_id", "node", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root")
@@ -358,7 +389,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     shingles stay.
     """
     names = docs.columns
-    found = materialize(grouped(docs), "groups")
+    found = grouped(docs)
     key = f"c{names.index('doc_id')}"
     same = F.col(key).cast("long").eqNullSafe(F.col("gone_id")) & (F.col("node") == F.col("gone_node"))
     dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
