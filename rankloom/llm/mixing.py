@@ -39,40 +39,53 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("key", key).withColumn("part", F.substring("key", 1, RANGE_DIGITS)).withColumn("of", of)
 
 
+def _placed(sources: DataFrame) -> DataFrame:
+    """Add ``place``, the number of each source from 0 in the order of names, null last; written.
+
+    Names are sorted in ranges, so a table of very many sources (hosts, say) goes through no single task; what
+    the driver adds up is the number of names in each range.
+    """
+    by_name = F.col("source").asc_nulls_last()
+    ranged = sources.repartitionByRange(by_name).sortWithinPartitions(by_name)
+    found = materialize(ranged.withColumn("at", F.monotonically_increasing_id()), "sources")
+    # The number of the range stands above the lower 33 bits, the place in the range in them.
+    ranges = found.groupBy(F.shiftrightunsigned("at", 33).alias("range")).count().collect()
+    before, total = {}, 0
+    for row in sorted(ranges):
+        before[row["range"]], total = total, total + row["count"]
+    if not before:
+        return found.withColumn("place", F.col("at")).drop("at")
+    ahead = F.element_at(F.create_map(*[F.lit(v).cast("long") for pair in before.items() for v in pair]), F.shiftrightunsigned("at", 33))
+    return found.withColumn("place", ahead + F.col("at").bitwiseAND((1 << 33) - 1)).drop("at")
+
+
 def source_targets(
     sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS
 ) -> DataFrame:
     """``(source, source_size, target)`` from one row ``(source, source_size)`` per source.
 
     Weights go by the order of the sources, null last. A target stops at ``epochs`` times its source;
-    what is over goes to the others by weight. Sorted by the weight share at which they stop, the
-    stopped sources come first, so prefix sums find the level at which the rest stand.
+    what is over goes to the others by weight. The level of the others, a target per weight, rises with every source
+    that stops, so it is raised until no further one stops; each time is one sum over the sources.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    place = (F.row_number().over(by_name) - 1) % len(weights)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1)
-    rated = (
-        sources.withColumn("place", F.row_number().over(by_name))
-        .withColumn("weight", weight)
-        .withColumn("most", F.lit(float(epochs)) * F.col("source_size"))
-        .withColumn("wanted", F.lit(share) * F.sum("source_size").over(Window.partitionBy()))
-    )
-    by_stop = Window.orderBy(F.col("most") / F.col("weight"), "place")
-    before = by_stop.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_stop.rowsBetween(0, Window.unboundedFollowing)
-    level = (F.col("wanted") - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    levels = rated.withColumn("level", level).withColumn("stops", F.col("most") <= F.col("weight") * F.col("level"))
-    # The first source that does not stop has the level of all the others behind it.
-    stands = F.min(F.when(~F.col("stops"), F.struct("most_by_weight", "place", "level"))).over(Window.partitionBy())
-    return (
-        levels.withColumn("most_by_weight", F.col("most") / F.col("weight"))
-        .withColumn("stand", stands["level"])
-        .select(
-            "source",
-            "source_size",
-            F.when(F.col("stops"), F.col("most")).otherwise(F.col("weight") * F.col("stand")).alias("target"),
-        )
-    )
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    rated = _placed(sources).withColumn("weight", weight).withColumn("most", F.lit(float(epochs)) * F.col("source_size"))
+    level = 0.0
+    while True:
+        stops = F.col("most") <= F.col("weight") * F.lit(level)
+        sums = rated.agg(
+            F.sum("source_size").alias("size"),
+            F.sum(F.when(stops, F.col("most")).otherwise(0.0)).alias("stopped"),
+            F.sum(F.when(stops, 0.0).otherwise(F.col("weight"))).alias("others"),
+        ).first()
+        if not sums.others:
+            break
+        above = (share * sums.size - sums.stopped) / sums.others
+        if above <= level:
+            break
+        level = above
+    target = F.when(stops, F.col("most")).otherwise(F.col("weight") * F.lit(level))
+    return rated.select("source", "source_size", target.alias("target"))
 
 
 def _decisions(sizes: DataFrame, **mix) -> DataFrame:

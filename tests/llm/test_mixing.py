@@ -51,3 +51,26 @@ def test_sources_too_many_to_broadcast_are_split(spark, monkeypatch):
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(skew, "HOT_ROWS", 50)
     assert taken_of(table) == plain
+
+
+def test_targets_of_many_sources_equal_a_plain_model(spark):
+    names = sorted(f"host{i}" for i in range(700)) + [None]
+    sizes = {name: (i * i * 31) % 9973 * (i % 11 > 0) for i, name in enumerate(names)}
+    table = spark.createDataFrame([(n, sizes[n]) for n in reversed(names)], "source string, source_size long")
+    for weights, share, epochs in (((3, 1, 2), 1.5, 2), ((1, 50), 1.9, 2), ((5,), 3.0, 2), ((1, 2), 0.0, 1)):
+        weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+        left, open_, wanted = share * sum(sizes.values()), set(names), {}
+        for n in sorted(names, key=lambda n: epochs * sizes[n] / weight[n]):
+            level = left / sum(weight[m] for m in open_)
+            if epochs * sizes[n] > weight[n] * level:
+                break
+            wanted[n] = epochs * sizes[n]
+            left -= wanted[n]
+            open_.remove(n)
+        wanted |= {n: weight[n] * left / sum(weight[m] for m in open_) for n in open_}
+        found = {r.source: r.target for r in mixing.source_targets(table, weights, share, epochs).collect()}
+        assert found.keys() == wanted.keys() and all(abs(found[n] - wanted[n]) < 1e-6 for n in names)
+
+
+def test_targets_without_sources(spark):
+    assert mixing.source_targets(spark.createDataFrame([], "source string, source_size long")).count() == 0
