@@ -166,6 +166,21 @@ class LanguageModel:
         return np.concatenate((kernel, np.ones((len(kernel), 1), dtype=np.float32)), axis=1) @ self.weights
 
 
+def _first_of_each(rows: DataFrame, order: list[str], each: int) -> DataFrame:
+    """The first ``each`` rows of every language.
+
+    Every task sends that many at most, and as one language has rows in all tasks, they are ranked twice: among
+    groups of tasks, then among the groups. Group g has tasks g * g to g * g + 2 * g, so with t tasks nobody
+    reads the rows of more than some 2 * sqrt(t) others.
+    """
+    group = F.floor(F.sqrt(F.spark_partition_id().cast("double")))
+    rows = rows.withColumn("group", group)
+    for keys in (["lang", "group"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        rows = rows.withColumn("rank", rank).where(F.col("rank") <= each).drop("rank")
+    return rows.drop("group")
+
+
 def sample(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
     """A bounded sample of the labelled rows, the same number of each language, by hash of the id.
 
@@ -174,13 +189,11 @@ def sample(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> DataFrame
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     each = max(MIN_ROWS, rows // max(labelled.select("lang").distinct().count(), 1))
     draw = F.xxhash64(F.col("doc_id"), F.lit(7))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    # Only ids are ranked first; the filter on the rank is applied in every task before the shuffle.
-    ranked = labelled.select("lang", "doc_id", draw.alias("draw")).withColumn("rank", rank).where(F.col("rank") <= each)
+    # Only ids are ranked first; the texts of the drawn ones follow.
+    ranked = _first_of_each(labelled.select("lang", "doc_id", draw.alias("draw")), ["draw", "doc_id"], each)
     drawn = broadcast_if_small(materialize(ranked.select("doc_id").distinct(), "drawn"))
-    own = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
-    found = labelled.join(drawn, "doc_id", "left_semi").withColumn("draw", draw).withColumn("rank", own)
-    return found.where(F.col("rank") <= each).drop("draw", "rank")
+    found = labelled.join(drawn, "doc_id", "left_semi").withColumn("draw", draw)
+    return _first_of_each(found, ["draw", "doc_id", "text"], each).drop("draw")
 
 
 def fit(docs: DataFrame, learn: Column | None = None) -> LanguageModel | None:

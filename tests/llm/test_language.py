@@ -88,6 +88,19 @@ def test_scripts_are_told_apart_and_bounds_hold(spark, monkeypatch):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in found]) >= 0.9
 
 
+def test_first_rows_of_each_language_over_many_tasks(spark):
+    rows = [(k, (k * 7919) % 1009, "hot" if k % 10 else f"l{k % 70}") for k in range(5000)]
+    table = spark.createDataFrame(rows, "doc_id long, draw long, lang string").repartition(30)
+    found = li._first_of_each(table, ["draw", "doc_id"], 12)
+    wanted = {lang: sorted((d, i) for i, d, of in rows if of == lang)[:12] for lang in {r[2] for r in rows}}
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.lang, []).append((r.draw, r.doc_id))
+    assert {lang: sorted(of) for lang, of in got.items()} == wanted
+    # The cut is made before each of the two shuffles.
+    assert found._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 4
+
+
 def test_empty_tables_and_texts_without_letters(spark):
     table = spark.createDataFrame([(1, "1 2 3", "aa"), (2, None, "aa"), (None, "", None)], SCHEMA)
     assert {r.lang_pred for r in li.held_out_languages(table).collect()} == {"und"}
