@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rankloom.functions.scoring import nine_places
 from rankloom.functions.text import STOP_WORDS, tokens
 from rankloom.operators.ranking import indexed_terms, lookup, match_terms
-from rankloom.operators.skew import fits_broadcast, hot_keys, salted_join, top_k
+from rankloom.operators.skew import fits_broadcast, hot_keys, least_that_fits, salted_join, top_k
 
 # Fixed value: results of a body search.
 BODY_TOP = 100
@@ -22,16 +22,25 @@ def document_norms(
     """``(doc_id, norm)``: length of each document's TF-IDF vector over the index vocabulary.
 
     A vocabulary that was counted and is small goes to the facts; with facts by document each task
-    then has whole documents. A larger one is joined by shuffle with the hot terms split.
+    then has whole documents. Of a larger one its most frequent terms, which most facts have, go there, and only
+    the facts of the others are joined by shuffle, with the hot terms split.
     """
     n = corpus_stats.select("n").scalar()
     facts, stats = postings.select("term", "doc_id", "tf"), term_stats.select("term", "df")
-    if fits_broadcast(stats):
-        facts = facts.join(F.broadcast(stats), "term")
-    else:
-        facts = salted_join(facts, stats, "term", hot_keys(stats, "term", "df", min_hot_rows), ["doc_id"])
     weight = F.col("tf") * F.log(n / F.col("df"))
-    return facts.groupBy("doc_id").agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
+
+    def by_shuffle(facts: DataFrame, stats: DataFrame) -> DataFrame:
+        return salted_join(facts, stats, "term", hot_keys(stats, "term", "df", min_hot_rows), ["doc_id"])
+
+    least = least_that_fits(stats, "df")
+    if least is None or least == 1:
+        facts = facts.join(F.broadcast(stats), "term") if least else by_shuffle(facts, stats)
+        return facts.groupBy("doc_id").agg(F.sqrt(F.sum(weight * weight)).alias("norm"))
+    frequent, others = F.broadcast(stats.where(F.col("df") >= least)), stats.where(F.col("df") < least)
+    known = facts.join(frequent, "term")
+    rest = by_shuffle(facts.join(frequent, "term", "left_anti"), others)
+    parts = [part.groupBy("doc_id").agg(F.sum(weight * weight).alias("squares")) for part in (known, rest)]
+    return parts[0].unionByName(parts[1]).groupBy("doc_id").agg(F.sqrt(F.sum("squares")).alias("norm"))
 
 
 def body_search(

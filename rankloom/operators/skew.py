@@ -37,6 +37,22 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+def least_that_fits(counts: DataFrame, count: str) -> int | None:
+    """The least bound on ``count`` for which the rows at or above it are within the broadcast bounds.
+
+    1 where all rows are, otherwise a power of two, and None where not even the largest ones fit.
+    """
+    power = F.length(F.bin(count)) - 1
+    sizes = counts.where(F.col(count) > 0).groupBy(power.alias("power")).agg(*_measures(counts)).collect()
+    rows, length, least = 0, 0, None
+    for size in sorted(sizes, key=lambda s: -s.power):
+        rows, length = rows + size.rows, length + size.bytes
+        if rows > BROADCAST_ROWS or length > BROADCAST_BYTES:
+            return least
+        least = 1 << size.power
+    return 1
+
+
 def batch_size(query_term_rows: DataFrame) -> tuple[bool, int]:
     """Whether the query terms fit a broadcast, and how many distinct terms there are."""
     size = query_term_rows.agg(*_measures(query_term_rows)).first()
