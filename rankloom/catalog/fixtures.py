@@ -12,7 +12,7 @@ from rankloom.operators.graph import edges, normalized, pagerank
 from rankloom.operators.index import MIN_DF
 from rankloom.operators.ranking import match_terms
 from rankloom.operators.terms import query_terms
-from rankloom.plans.build_index import Index, build_index
+from rankloom.plans.build_index import Index, build_index, cut_index
 from rankloom.plans.search import search
 from rankloom.sources.corpus import read_corpus, spread_small
 
@@ -111,7 +111,9 @@ def supplier_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str, min_df: int = MIN_DF) -> Index:
-    return shared(spark, sf_dir, f"index-{min_df}", lambda: build_index(documents(spark, sf_dir), min_df=min_df))
+    """The documents are indexed once, under the usual cut; another cut reads the same tables."""
+    built = shared(spark, sf_dir, "index", lambda: build_index(documents(spark, sf_dir)))
+    return shared(spark, sf_dir, f"index-{min_df}", lambda: cut_index(built, min_df))
 
 
 def supplier_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from rankloom.operators import ranking as rk
 from rankloom.operators import terms as tx
 from rankloom.operators.stems import stem_table
 from rankloom.plans import search as sr
-from rankloom.plans.build_index import Index, add_documents, build_index, save_index
+from rankloom.plans.build_index import Index, add_documents, bound_index, build_index, save_index
 from rankloom.sources import artifacts, corpus, views
 from rankloom.sources.judgments import judgment_table, query_table, read_judgments, save_judgments
 
@@ -236,7 +236,7 @@ def bm25_by_term_top10(spark: SparkSession, sf: str) -> DataFrame:
 @job
 def bm25_frequent_terms_top10(spark: SparkSession, sf: str) -> DataFrame:
     """Few terms with many postings, by score bounds of blocks of documents."""
-    bounded = fx.shared(spark, sf, "bounded", lambda: build_index(fx.documents(spark, sf), min_df=0, impact_rows=20))
+    bounded = fx.shared(spark, sf, "bounded", lambda: bound_index(fx.index(spark, sf, 0), 20))
     return rounded(sr.bm25(bounded, fx.frequent_queries(spark, sf), prune_rows=0), "score")
 
 

@@ -8,6 +8,9 @@ score of these rows is the largest in the block, also after the index has grown.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +51,21 @@ def with_block(postings: DataFrame, segment: int, documents: int) -> DataFrame:
 def impacts(postings: DataFrame, frequent: DataFrame) -> DataFrame:
     """``(term, bucket, block, tf, dl)``: least length per frequency in each block, of the terms in ``frequent (term)``.
 
-    Postings are sorted by term and block, so partial sums leave little more than the result to shuffle.
+    Stored postings are sorted by term and block, so they fold where they are read, without a shuffle. A block that
+    two batches of rows share has a row from each, which bounds it as well.
     """
     chosen = postings.join(broadcast_if_small(frequent.select("term")), "term", "left_semi")
-    return chosen.groupBy("term", "bucket", "block", "tf").agg(F.min("dl").alias("dl"))
+    return chosen.select(*_IMPACT_COLUMNS).mapInArrow(_least_lengths, chosen.select(*_IMPACT_COLUMNS).schema)
+
+
+_IMPACT_COLUMNS = ["term", "bucket", "block", "tf", "dl"]
+
+
+def _least_lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        grouped = pa.Table.from_batches([batch]).group_by(_IMPACT_COLUMNS[:-1], use_threads=False)
+        folded = grouped.aggregate([("dl", "min")]).select([*_IMPACT_COLUMNS[:-1], "dl_min"])
+        yield from folded.rename_columns(_IMPACT_COLUMNS).to_batches()
 
 
 def block_bounds(

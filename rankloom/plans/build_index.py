@@ -21,7 +21,7 @@ from rankloom.operators import blocks as bl
 from rankloom.operators import index as ix
 from rankloom.operators import terms as tx
 from rankloom.operators.matching import document_norms
-from rankloom.operators.skew import broadcast_if_small
+from rankloom.operators.skew import broadcast_if_small, least_that_fits
 from rankloom.sources import segments as sg
 from rankloom.sources.artifacts import save_postings
 
@@ -81,7 +81,12 @@ def build_index(
     old = sg.read_version(spark, path)
     empty = sg.Version(old.number if old else -1, (), min_df, buckets, doc_buckets, impact_rows=impact_rows)
     name = (old or empty).next_name()
-    return _publish(spark, path, _write_whole(spark, path, empty, name, tx.doc_terms(docs, stop_words)))
+    return _publish(spark, path, _write_whole(spark, path, empty, name, _counted(docs, doc_buckets, stop_words), True))
+
+
+def _counted(docs: DataFrame, doc_buckets: int, stop_words: Iterable[str]) -> DataFrame:
+    """Documents with their counted terms, in their buckets; the texts move there, which are shorter than the terms."""
+    return tx.doc_terms(docs.select("doc_id", "text").repartition(doc_buckets, "doc_id"), stop_words)
 
 
 def _publish(spark: SparkSession, path: str, version: sg.Version) -> Index:
@@ -89,9 +94,11 @@ def _publish(spark: SparkSession, path: str, version: sg.Version) -> Index:
     return _index(spark, path, version)
 
 
-def _write_whole(spark: SparkSession, path: str, empty: sg.Version, name: str, per_doc: DataFrame) -> sg.Version:
+def _write_whole(
+    spark: SparkSession, path: str, empty: sg.Version, name: str, per_doc: DataFrame, placed: bool = False
+) -> sg.Version:
     """A version of one segment, with norms."""
-    segment = _write_documents(spark, path, empty, name, per_doc)
+    segment = _write_documents(spark, path, empty, name, per_doc, placed)
     return _with_postings(spark, path, empty, segment, norms=True)
 
 
@@ -136,10 +143,15 @@ class _Written:
     rows: int
 
 
-def _write_documents(spark: SparkSession, path: str, version: sg.Version, name: str, per_doc: DataFrame) -> _Written:
-    """Write documents ``(doc_id, dl, terms)``, rows of which may share ids, and their statistics."""
+def _write_documents(
+    spark: SparkSession, path: str, version: sg.Version, name: str, per_doc: DataFrame, placed: bool = False
+) -> _Written:
+    """Write documents ``(doc_id, dl, terms)``, rows of which may share ids, and their statistics.
+
+    ``placed`` rows lie in their buckets already.
+    """
     older = version.segments
-    sg.write_bucketed(per_doc, f"{path}/doc_terms/segment={name}", "doc_id", version.doc_buckets)
+    sg.write_bucketed(per_doc, f"{path}/doc_terms/segment={name}", "doc_id", version.doc_buckets, placed)
     own = _doc_table(spark, path, version, (sg.Segment(name, 0, 0),)).drop("segment")
     with Scratch(spark) as scratch:
         # Within a bucket, so without a shuffle, and only the ids are read.
@@ -191,7 +203,8 @@ def _with_postings(
 
     def postings() -> int:
         placed = bl.with_block(tx.term_facts(written.documents), segment.number, written.rows)
-        save_postings(placed, f"{path}/postings/segment={segment.name}", version.buckets)
+        stats = sg.scan(spark, path, "term_stats", (segment,), schemas.TERM_STATS).select("term", "df")
+        save_postings(placed, f"{path}/postings/segment={segment.name}", version.buckets, term_stats=stats)
         return _write_impacts(spark, path, version, segment)
 
     jobs = [postings, lambda: _write_norms(spark, path, grown)] if norms else [postings]
@@ -200,18 +213,26 @@ def _with_postings(
     return replace(grown, norms=names[0] if names else None)
 
 
-def _write_impacts(spark: SparkSession, path: str, version: sg.Version, segment: sg.Segment) -> int:
-    """Score bounds of the segment's frequent terms; the number of rows, none where no term is frequent."""
-    own = (segment,)
-    stats = sg.scan(spark, path, "term_stats", own, schemas.TERM_STATS)
-    frequent = stats.where(F.col("df") >= version.impact_rows).select("term")
+def _write_impacts(
+    spark: SparkSession, path: str, version: sg.Version, segment: sg.Segment, to: str | None = None
+) -> int:
+    """Score bounds of the segment's frequent terms; the number of rows, none where no term is frequent.
+
+    They go to the folder ``to``, by default that of the index. Where the frequent terms are too many to broadcast, the most
+    frequent ones have bounds; a search reads all postings of terms that have none.
+    """
+    own, to = (segment,), to or path
+    stats = sg.scan(spark, path, "term_stats", own, schemas.TERM_STATS).select("term", "df")
+    frequent = stats.where(F.col("df") >= version.impact_rows)
+    least = least_that_fits(frequent, "df")
+    frequent = frequent.where(F.col("df") >= least) if least else frequent.where(F.lit(False))
     if frequent.isEmpty():
         return 0
     postings = sg.scan(spark, path, "postings", own, schemas.POSTINGS)
-    bl.impacts(postings, frequent).repartitionByRange("bucket", "term", "block").sortWithinPartitions(
-        "bucket", "term", "block"
-    ).write.partitionBy("bucket").parquet(f"{path}/impacts/segment={segment.name}")
-    return sg.scan(spark, path, "impacts", own, schemas.IMPACTS).count()
+    bl.impacts(postings, frequent).sortWithinPartitions("bucket", "term", "block").write.partitionBy("bucket").parquet(
+        f"{to}/impacts/segment={segment.name}"
+    )
+    return sg.scan(spark, to, "impacts", own, schemas.IMPACTS).count()
 
 
 def _write_norms(spark: SparkSession, path: str, version: sg.Version) -> str:
@@ -292,7 +313,8 @@ def add_documents(index: Index, docs: DataFrame, stop_words: Iterable[str] = STO
     spark, path, version = docs.sparkSession, index.path, index.version
     if path is None or version is None:
         raise ValueError("only an index that was built or loaded from a folder can grow")
-    written = _write_documents(spark, path, version, version.next_name(), tx.doc_terms(docs, stop_words))
+    per_doc = _counted(docs, version.doc_buckets, stop_words)
+    written = _write_documents(spark, path, version, version.next_name(), per_doc, True)
     return _index(spark, path, _with_postings(spark, path, version, written, source=source))
 
 
@@ -311,6 +333,29 @@ def save_index(index: Index, path: str | None = None) -> Index:
     return _publish(spark, path, _write_whole(spark, path, version, version.next_name(), index.doc_terms))
 
 
+def cut_index(index: Index, min_df: int) -> Index:
+    """The same stored index under another rare-term cut; nothing is written or published.
+
+    The segments hold all terms, so only what the statistics let through differs. Norms depend on the cut, so they
+    are computed per query, as in a grown index.
+    """
+    if min_df == index.min_df:
+        return index
+    spark = index.postings.sparkSession
+    return _index(spark, index.path, replace(index.version, min_df=min_df, norms=None))
+
+
+def bound_index(index: Index, impact_rows: int) -> Index:
+    """The index with score bounds of the terms with ``impact_rows`` postings or more in a segment.
+
+    They lie in a table beside the stored index, which keeps its own.
+    """
+    spark, path, to = index.postings.sparkSession, index.path, scratch_path(index.postings.sparkSession, "bounds")
+    version = replace(index.version, impact_rows=impact_rows)
+    bounded = tuple(s for s in version.segments if _write_impacts(spark, path, version, s, to))
+    return replace(index, impacts=sg.scan(spark, to, "impacts", bounded, schemas.IMPACTS).drop("segment"))
+
+
 def save_norms(index: Index) -> Index:
     """Publish the index with norms for body search, one row per document."""
     spark, path = index.postings.sparkSession, index.path

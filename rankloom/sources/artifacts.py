@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankloom.operators.graph import highest_first
 from rankloom.operators.index import NUM_BUCKETS, longest_first, with_bucket
+from rankloom.operators.skew import hot_keys
 
 
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -42,15 +44,44 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.csv(path, schema=schema, escape='"', multiLine=True)
 
 
-def save_postings(postings: DataFrame, path: str, buckets: int = NUM_BUCKETS, mode: str = "overwrite") -> None:
+#: Least postings of a part of a bucket, where the statistics deal the postings to tasks.
+PART_ROWS = 250_000
+
+
+def save_postings(
+    postings: DataFrame,
+    path: str,
+    buckets: int = NUM_BUCKETS,
+    mode: str = "overwrite",
+    term_stats: DataFrame | None = None,
+    part_rows: int = PART_ROWS,
+) -> None:
     """Postings in one folder per bucket of terms, sorted by term, block if there is one, and document.
 
     Ranges over bucket, term and document give tasks of even size: a term with very many postings
-    is cut into several ranges, and a file covers few terms, so its statistics skip it for others.
+    is cut into several ranges, and a file covers few terms, so its statistics skip it for others. Ranges
+    need a pass over all postings to find them; ``term_stats (term, df)`` saves it, see :func:`_dealt`.
     """
     rows = postings if "bucket" in postings.columns else with_bucket(postings, buckets)
     order = ["bucket", "term", *(["block"] if "block" in rows.columns else []), "doc_id"]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("bucket").parquet(path, mode=mode)
+    columns = rows.columns
+    rows = rows.repartitionByRange(*order) if term_stats is None else _dealt(rows, term_stats, buckets, part_rows)
+    rows.sortWithinPartitions(*order).select(*columns).write.partitionBy("bucket").parquet(path, mode=mode)
+
+
+def _dealt(rows: DataFrame, term_stats: DataFrame, buckets: int, part_rows: int) -> DataFrame:
+    """Postings dealt to tasks by parts of buckets, several to a task.
+
+    A term lies in one part of its bucket; one with more than ``part_rows`` postings has parts of its own, by block or document.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = term_stats.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("total")).first().total
+    part_rows = max(part_rows, total // (4 * tasks))
+    parts = max(1, -(-total // (buckets * part_rows)))
+    hot = hot_keys(term_stats, "term", "df", part_rows)
+    of_hot = F.xxhash64("term", F.pmod(F.xxhash64("block" if "block" in rows.columns else "doc_id"), "splits"))
+    part = F.when(F.col("splits").isNull(), F.pmod(F.xxhash64("term"), F.lit(parts))).otherwise(of_hot)
+    return rows.join(F.broadcast(hot), "term", "left").withColumn("part", part).repartition("bucket", "part")
 
 
 def load_if_saved(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

@@ -125,10 +125,10 @@ def scan(spark: SparkSession, path: str, table: str, segments: tuple[Segment, ..
     )
 
 
-def write_bucketed(df: DataFrame, folder: str, key: str, buckets: int) -> None:
-    """Write ``df`` so that all rows of a key lie in one bucket, a file each."""
+def write_bucketed(df: DataFrame, folder: str, key: str, buckets: int, placed: bool = False) -> None:
+    """Write ``df`` so that all rows of a key lie in one bucket, a file each; ``placed`` rows are dealt so already."""
     spark, name = df.sparkSession, f"rankloom_write_{uuid.uuid4().hex}"
-    rows = df.repartition(buckets, key)
+    rows = df if placed else df.repartition(buckets, key)
     rows.write.bucketBy(buckets, key).sortBy(key).option("path", folder).format("parquet").saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")
 
