@@ -11,7 +11,7 @@ from rankloom.durable import materialize
 from rankloom.operators.graph import edges, normalized, pagerank
 from rankloom.operators.index import MIN_DF
 from rankloom.operators.ranking import match_terms
-from rankloom.operators.terms import query_terms
+from rankloom.operators.terms import query_terms, term_facts
 from rankloom.plans.build_index import Index, build_index, cut_index
 from rankloom.plans.search import search
 from rankloom.sources.corpus import read_corpus, spread_small
@@ -126,22 +126,23 @@ def blending_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalized(supplier_ranks(spark, sf_dir))
 
 
+def documents_with_all(whole: Index, terms: DataFrame) -> DataFrame:
+    """``(query_id, doc_id)``: documents that have all ``terms (query_id, term)`` of a query.
+
+    The facts lie in buckets by document, so a small batch counts its terms in a document without a shuffle of hits.
+    """
+    asked = terms.join(terms.groupBy("query_id").agg(F.count("*").alias("needed")), "query_id")
+    matched = match_terms(term_facts(whole.doc_terms).select("term", "doc_id"), asked, whole.term_stats)
+    found = matched.groupBy("query_id", "doc_id").agg(F.count("*").alias("found"), F.min("needed").alias("needed"))
+    return found.where("found = needed").select("query_id", "doc_id")
+
+
 def judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(query_id, doc_id)``: a document is relevant to a passage when it has all its terms."""
 
     def build() -> DataFrame:
         terms = query_terms(benchmark_queries(spark, sf_dir)).select("query_id", "term")
-        needed = terms.groupBy("query_id").agg(F.count("*").alias("needed"))
-        whole = index(spark, sf_dir, 0)
-        matched = match_terms(whole.postings.select("term", "doc_id"), terms, whole.term_stats)
-        return materialize(
-            matched.groupBy("query_id", "doc_id")
-            .agg(F.count("*").alias("found"))
-            .join(needed, "query_id")
-            .where("found = needed")
-            .select("query_id", "doc_id"),
-            "judgments",
-        )
+        return materialize(documents_with_all(index(spark, sf_dir, 0), terms), "judgments")
 
     return shared(spark, sf_dir, "judgments", build)
 

@@ -111,3 +111,12 @@ def test_texts_move_to_their_buckets_before_they_are_counted(spark, texts):
     details = text[text.index("\n\n"):]
     assert text.count("Exchange") and details.index("REPARTITION_BY_NUM") < details.index("regexp_extract_all")
     assert counted.rdd.getNumPartitions() == 4
+
+
+def test_documents_with_all_terms_are_found_by_document(spark, indexed):
+    terms = spark.createDataFrame([(1, "moon"), (1, "star"), (2, "word7"), (3, "moon"), (3, "nowhere")], "query_id long, term string")
+    found = fx.documents_with_all(indexed, terms)
+    text = plan(found)
+    assert "/doc_terms" in text and "/postings" not in text
+    assert not [line for line in text.splitlines() if "hashpartitioning(" in line and "doc_id" in line]
+    assert sorted(map(tuple, found.collect())) == [(1, i) for i in range(1, 64, 2)] + [(2, 7)]
