@@ -62,7 +62,7 @@ def posting_lists(postings: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """
     return (
         postings.groupBy("term", F.floor(F.col("doc_id") / block_ids).alias("block"))
-        .agg(F.array_sort(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
     )
 
 

@@ -113,6 +113,15 @@ def test_texts_move_to_their_buckets_before_they_are_counted(spark, texts):
     assert counted.rdd.getNumPartitions() == 4
 
 
+def test_posting_lists_are_sorted_without_a_lambda(spark):
+    rows = [("moon", i * 7 % 40, i + 1) for i in range(40)] + [("star", 3, 1)]
+    lists = ix.posting_lists(spark.createDataFrame(rows, "term string, doc_id long, tf long"), block_ids=16)
+    assert "lambda" not in plan(lists)
+    found = {(r.term, r.block): [(p.doc_id, p.tf) for p in r.postings] for r in lists.collect()}
+    blocks = {(t, d // 16) for t, d, _ in rows}
+    assert found == {(t, b): sorted((d, f) for u, d, f in rows if u == t and d // 16 == b) for t, b in blocks}
+
+
 def test_documents_with_all_terms_are_found_by_document(spark, indexed):
     terms = spark.createDataFrame([(1, "moon"), (1, "star"), (2, "word7"), (3, "moon"), (3, "nowhere")], "query_id long, term string")
     found = fx.documents_with_all(indexed, terms)
