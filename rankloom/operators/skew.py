@@ -71,7 +71,8 @@ def hot_keys(counts: DataFrame, key: str, count: str, min_rows: int | None = Non
     # Counting once tells whether there are too many; as a rule there are hardly any.
     sizes = counts.agg(F.sum(count).alias("total"), F.count_if(F.col(count) > target).alias("over")).first()
     if not sizes.over:
-        return counts.sparkSession.createDataFrame([], over.schema).select(key, F.col("hot_rows").cast("int").alias("splits"))
+        # A plan that is known to be empty, so the join with it goes away.
+        return over.where(F.lit(False)).select(key, F.col("hot_rows").cast("int").alias("splits"))
     least = max((sizes.total or 0) / HOT_KEYS, target)
     return over.where(F.col("hot_rows") > least).withColumnRenamed("hot_rows", count).select(key, F.ceil(F.col(count) / target).cast("int").alias("splits"))
 

@@ -203,7 +203,7 @@ def _with_postings(
 
     def postings() -> int:
         placed = bl.with_block(tx.term_facts(written.documents), segment.number, written.rows)
-        stats = sg.scan(spark, path, "term_stats", (segment,), schemas.TERM_STATS).select("term", "df")
+        stats = sg.scan(spark, path, "term_stats", (segment,), schemas.TERM_STATS).select("term", "df", "bucket")
         save_postings(placed, f"{path}/postings/segment={segment.name}", version.buckets, term_stats=stats)
         return _write_impacts(spark, path, version, segment)
 

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankloom.functions.text import term_bucket
 from rankloom.operators.graph import highest_first
 from rankloom.operators.index import NUM_BUCKETS, longest_first, with_bucket
-from rankloom.operators.skew import hot_keys
+from rankloom.operators.skew import hot_keys, least_that_fits
 
 
 def save_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -47,6 +48,9 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 #: Least postings of a part of a bucket, where the statistics deal the postings to tasks.
 PART_ROWS = 250_000
 
+#: Postings of a term from which its bucket is looked up, not computed for each posting.
+KNOWN_ROWS = 64
+
 
 def save_postings(
     postings: DataFrame,
@@ -62,13 +66,26 @@ def save_postings(
     is cut into several ranges, and a file covers few terms, so its statistics skip it for others. Ranges
     need a pass over all postings to find them; ``term_stats (term, df)`` saves it, see :func:`_dealt`.
     """
-    rows = postings if "bucket" in postings.columns else with_bucket(postings, buckets)
+    rows = postings
+    if "bucket" not in rows.columns:
+        rows = with_bucket(rows, buckets) if term_stats is None else _looked_up(rows, term_stats, buckets)
     order = ["bucket", "term", *(["block"] if "block" in rows.columns else []), "doc_id"]
     columns = rows.columns
     rows = rows.repartitionByRange(*order) if term_stats is None else _dealt(rows, term_stats, buckets, part_rows)
     rows.sortWithinPartitions(*order).select(*columns).write.partitionBy("bucket").parquet(path, mode=mode)
 
 
+def _looked_up(postings: DataFrame, term_stats: DataFrame, buckets: int, least: int = KNOWN_ROWS) -> DataFrame:
+    """Postings with the bucket of their term, which the statistics bring for the terms that most postings have."""
+    stats = term_stats if "bucket" in term_stats.columns else with_bucket(term_stats, buckets)
+    fitting = least_that_fits(stats.select("term", "df").where(F.col("df") >= least), "df")
+    if fitting is None:
+        return with_bucket(postings, buckets)
+    known = stats.where(F.col("df") >= max(least, fitting)).select("term", F.col("bucket").alias("known"))
+    bucket = F.coalesce("known", term_bucket(F.col("term"), buckets))
+    return postings.join(F.broadcast(known), "term", "left").withColumn("bucket", bucket).drop("known")
+
+
 def _dealt(rows: DataFrame, term_stats: DataFrame, buckets: int, part_rows: int) -> DataFrame:
     """Postings dealt to tasks by parts of buckets, several to a task.
 

@@ -113,6 +113,26 @@ def test_texts_move_to_their_buckets_before_they_are_counted(spark, texts):
     assert counted.rdd.getNumPartitions() == 4
 
 
+def test_buckets_of_frequent_terms_are_looked_up(spark, monkeypatch):
+    facts = spark.createDataFrame([(f"w{i % (i % 9 + 1)}", i, 1, 1) for i in range(300)], "term string, doc_id long, tf long, dl long")
+    stats = ix.term_statistics(facts)
+    rows = lambda df: sorted((r.term, r.doc_id, r.bucket) for r in df.collect())
+    computed = rows(ix.with_bucket(facts, 5))
+    for given in (stats, ix.with_bucket(stats, 5), stats.withColumn("df", -F.col("df"))):
+        assert rows(artifacts._looked_up(facts, given, 5, 20)) == computed
+    assert "BroadcastHashJoin" in plan(artifacts._looked_up(facts, stats, 5, 20))
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    assert rows(artifacts._looked_up(facts, stats, 5, 20)) == computed
+
+
+def test_no_hot_keys_cost_no_job_and_no_join(spark):
+    counts = spark.range(5).select(F.col("id").cast("string").alias("term"), F.lit(3).cast("long").alias("df"))
+    none = skew.hot_keys(counts, "term", "df")
+    assert none.count() == 0 and "ExistingRDD" not in plan(none)
+    joined = counts.join(F.broadcast(none), "term", "left")
+    assert "Join" not in plan(joined) and joined.where("splits is null").count() == 5
+
+
 def test_posting_lists_are_sorted_without_a_lambda(spark):
     rows = [("moon", i * 7 % 40, i + 1) for i in range(40)] + [("star", 3, 1)]
     lists = ix.posting_lists(spark.createDataFrame(rows, "term string, doc_id long, tf long"), block_ids=16)
